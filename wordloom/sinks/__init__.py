@@ -1,3 +1,3 @@
-from wordloom.sinks.text import pair_text, score_text, stripe_text, write_tsv
+from wordloom.sinks.text import pair_text, score_text, stripe_text, tsv_lines, write_tsv
 
-__all__ = ["pair_text", "score_text", "stripe_text", "write_tsv"]
+__all__ = ["pair_text", "score_text", "stripe_text", "tsv_lines", "write_tsv"]

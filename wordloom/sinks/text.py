@@ -26,15 +26,19 @@ def score_text(scores: DataFrame) -> DataFrame:
     return scores.withColumn("score", F.format_string("%.4f", "score"))
 
 
+def tsv_lines(df: DataFrame, out: str = "value") -> DataFrame:
+    """The columns of each row as one tab-separated string."""
+    return df.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in df.columns]).alias(out))
+
+
 def write_tsv(df: DataFrame, path: str, *keys: str, single_file: bool = False) -> None:
     """Write the columns tab-separated in order of ``keys``; an existing target is an error.
 
     The files of the target, taken by name, are in order as a whole.
     ``single_file`` sorts and writes in one task: for small results only.
     """
-    line = F.concat_ws("\t", *[F.col(c).cast("string") for c in df.columns])
     if single_file:
         ordered = df.coalesce(1).sortWithinPartitions(*keys) if keys else df.coalesce(1)
     else:
         ordered = df.orderBy(*keys) if keys else df
-    ordered.select(line.alias("value")).write.mode("errorifexists").text(path)
+    tsv_lines(ordered).write.mode("errorifexists").text(path)

@@ -1,5 +1,5 @@
 from wordloom.sources.corpus import file_doc_id, lines, read_table, read_text, records, spread
-from wordloom.sources.lists import parse_df_table, parse_words, read_df_table, read_words
+from wordloom.sources.lists import parse_df_table, parse_words, read_df_table, read_words, settled
 
 __all__ = [
     "file_doc_id",
@@ -11,5 +11,6 @@ __all__ = [
     "read_text",
     "read_words",
     "records",
+    "settled",
     "spread",
 ]
