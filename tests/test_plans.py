@@ -1,0 +1,106 @@
+"""What the plans must look like: one tokeniser, one exchange, partial sums, no shuffled text."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from wordloom import operators as op
+from wordloom import plans, sources
+
+STOP = ["the", "and", "der"]
+TOP = ["for", "that", "was", "die", "und", "que", "les", "des", "von", "with", "from", "this"]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(text):
+    return len(re.findall(r"\bExchange (?:hash|range|RoundRobin|Single)", text))
+
+
+@pytest.fixture(scope="module")
+def scan(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+def test_word_counts(scan):
+    text = plan(op.word_counts(scan, stopwords=STOP))
+    assert exchanges(text) == 1 and "partial_count" in text
+    assert text.count("regexp_extract_all") == 1
+    assert "ReadSchema: struct<text:string>" in text
+
+
+def test_top_k_needs_no_full_sort(scan):
+    text = plan(plans.top_words(scan, 50, stopwords=STOP))
+    assert "TakeOrderedAndProject" in text and exchanges(text) == 1
+
+
+@pytest.mark.parametrize("call", [op.pairs, op.pairs_sweep])
+@pytest.mark.parametrize("vocabulary", [TOP, None])
+def test_pairs(scan, call, vocabulary):
+    text = plan(call(scan, vocabulary, 4, stopwords=STOP))
+    assert exchanges(text) == 1 and "partial_count" in text
+    assert text.count("regexp_extract_all") == 1
+    assert "ReadSchema: struct<text:string>" in text
+    assert "Join" not in text and "Python" not in text
+
+
+def test_long_literal_lists_are_hashed(scan):
+    assert "INSET" in plan(op.pairs(scan, TOP, 1))
+
+
+def test_stripes_shuffle_the_matrix_only(scan):
+    for isolated in (False, True):
+        text = plan(op.stripes(scan, TOP, 2, keep_isolated=isolated))
+        assert exchanges(text) == 2 and text.count("regexp_extract_all") == 1
+
+
+def test_by_record_does_not_shuffle(scan):
+    for call in (op.pairs_by_record, op.stripes_by_record):
+        text = plan(call(scan.select("doc_id", "text"), TOP, 2, stopwords=STOP))
+        assert exchanges(text) == 0 and text.count("regexp_extract_all") == 1
+        assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
+
+
+def test_lines_are_split_once(scan):
+    text = plan(op.pairs(sources.records(scan.select("doc_id", "text"), "line"), TOP, 2))
+    assert exchanges(text) == 1 and text.count("regexp_extract_all") == 1
+    assert len(re.findall(r"\bsplit\(", text)) == 1
+
+
+def test_document_frequency(scan):
+    text = plan(op.document_frequency(scan, stopwords=STOP))
+    assert exchanges(text) == 1 and "partial_count" in text
+    assert text.count("regexp_extract_all") == 1 and "Python" not in text
+
+
+def test_scores_do_not_shuffle(scan, spark):
+    table = spark.createDataFrame([(t, 5) for t in TOP], "term string, df long")
+    text = plan(op.tfidf(scan.select("doc_id", "text"), table, stopwords=STOP))
+    assert exchanges(text) == 0 and "BroadcastHashJoin" in text
+    assert text.count("regexp_extract_all") == 1 and "Python" not in text
+
+
+def test_long_df_table_is_not_forced_to_broadcast(scan, spark, monkeypatch):
+    from wordloom.operators import relevance
+
+    monkeypatch.setattr(relevance, "LITERAL_LIMIT", 5)
+    table = op.document_frequency(scan, stopwords=STOP)
+    logical = op.tfidf(scan.select("doc_id", "text"), table)._jdf.queryExecution().logical().toString()
+    assert "UnresolvedHint" not in logical and "ResolvedHint" not in logical
+
+
+def test_vocabulary_stems_in_generated_code(scan):
+    text = plan(op.stem_vocabulary(scan))
+    assert exchanges(text) == 1 and text.count("regexp_extract_all") == 1
+    assert len(text) < 60_000
+
+
+def test_unlimited_texts_are_counted_whole(spark):
+    """A long record is read to its end."""
+    docs = spark.createDataFrame([(1, "word " * 300_000 + "lastword")], "doc_id int, text string")
+    counts = {r.word: r.n for r in op.word_counts(docs).collect()}
+    assert counts == {"word": 300_000, "lastword": 1}
+    assert op.pairs(docs, None, 1).agg(F.sum("n")).first()[0] == 600_000

@@ -36,7 +36,7 @@ KNOWN = {
 
 def spark_stems(spark, words, revision="revised"):
     df = spark.createDataFrame([(list(words),)], "words array<string>")
-    return df.select(stem_all(F.col("words"), revision)).first()[0]
+    return df.select(stem_all("words", revision)).first()[0]
 
 
 def odd_words():

@@ -1,9 +1,10 @@
-"""Porter stemming (M. F. Porter, 1980) as plain Column expressions.
+"""Porter stemming (M. F. Porter, 1980) as plain SQL expressions.
 
-Every step is a function ``Column -> Column``.  :func:`with_stem` applies the
-steps to a column of words; :func:`stem_all` applies them to each element of an
-array column, so the words of a record are stemmed inside the row that holds
-them and no exploded token ever has to be shuffled.
+Every step is a CASE over one word.  :func:`with_stem` applies the steps to a
+column of words; :func:`stem_all` applies them to each element of an array
+column, so the words of a record are stemmed inside the row that holds them and
+no exploded token ever has to be shuffled.  The steps are written as SQL text:
+the parser takes all of it at once, where hundreds of Column calls cost seconds.
 
 Words are expected to be lower-case ``a``-``z``, as the tokeniser delivers them.
 """
@@ -84,136 +85,132 @@ def _short(suffix: str = "") -> str:
     return f"^{_C}[aeiouy][^aeiouwxy]{suffix}$"
 
 
-def _drop(word: Column, n: int, add: str = "") -> Column:
-    kept = F.substring(word, 1, F.length(word) - n) if n else word
-    return F.concat(kept, F.lit(add)) if add else kept
+def _drop(n: int, add: str = "") -> str:
+    """The word ``w`` less its last ``n`` letters, plus ``add``."""
+    kept = f"substring(w, 1, length(w) - {n})" if n else "w"
+    return f"concat({kept}, '{add}')" if add else kept
 
 
-def _swap(word: Column, old: str, new: str) -> Column:
+def _swap(old: str, new: str) -> str:
     """Replace the ending ``old`` by ``new``, touching only the letters that differ."""
     same = 0
     while same < min(len(old), len(new)) and old[same] == new[same]:
         same += 1
-    return _drop(word, len(old) - same, new[same:])
+    return _drop(len(old) - same, new[same:])
 
 
-def _suffix_case(
-    word: Column, suffixes: list[str], apply: Callable[[str], Column]
-) -> Column:
+def _case(*branches: tuple[str, str], otherwise: str = "w") -> str:
+    whens = " ".join(f"WHEN {condition} THEN {value}" for condition, value in branches)
+    return f"CASE {whens} ELSE {otherwise} END"
+
+
+def _ends(*suffixes: str) -> str:
+    return " OR ".join(f"endswith(w, '{s}')" for s in suffixes)
+
+
+def _like(pattern: str) -> str:
+    return f"w RLIKE '{pattern}'"
+
+
+def _by_suffix(suffixes: Iterable[str], value: Callable[[str], str]) -> str:
     """First look at the last letter, then try the suffixes that end in it, longest first."""
-    out = None
-    for letter in sorted({s[-1] for s in suffixes}):
-        inner = None
-        for s in sorted((s for s in suffixes if s[-1] == letter), key=len, reverse=True):
-            hit = word.endswith(s)
-            inner = F.when(hit, apply(s)) if inner is None else inner.when(hit, apply(s))
-        inner = inner.otherwise(word)
-        hit = word.endswith(letter)
-        out = F.when(hit, inner) if out is None else out.when(hit, inner)
-    return out.otherwise(word)
-
-
-def _step_1a(w: Column) -> Column:
-    return F.when(
-        w.endswith("s"),
-        F.when(w.endswith("ss"), w)
-        .when(w.endswith("sses") | w.endswith("ies"), _drop(w, 2))
-        .otherwise(_drop(w, 1)),
-    ).otherwise(w)
-
-
-def _step_1b(w: Column) -> Column:
-    def tidy(suffix: str) -> Column:
+    suffixes = sorted(suffixes, key=len, reverse=True)
+    return _case(
+        *[
+            (_ends(letter), _case(*[(_ends(s), value(s)) for s in suffixes if s[-1] == letter]))
+            for letter in sorted({s[-1] for s in suffixes})
+        ]
+    )
+
+
+def _step_1a() -> str:
+    plural = _case(
+        (_ends("ss"), "w"), (_ends("sses", "ies"), _drop(2)), otherwise=_drop(1)
+    )
+    return _case((_ends("s"), plural))
+
+
+def _step_1b() -> str:
+    def tidy(suffix: str) -> str:
         n = len(suffix)
         doubled = f"(?:{DOUBLES}){suffix}$|{_HEAD}(?:{_V}{_C})*yy{suffix}$"
-        return (
-            F.when(~w.rlike(_has_vowel(n)), w)
-            .when(w.rlike(f"(?:at|bl|iz){suffix}$"), _drop(w, n, "e"))
-            .when(w.rlike(doubled), _drop(w, n + 1))
-            .when(w.rlike(_short(suffix)), _drop(w, n, "e"))
-            .otherwise(_drop(w, n))
+        return _case(
+            (f"NOT {_like(_has_vowel(n))}", "w"),
+            (_like(f"(?:at|bl|iz){suffix}$"), _drop(n, "e")),
+            (_like(doubled), _drop(n + 1)),
+            (_like(_short(suffix)), _drop(n, "e")),
+            otherwise=_drop(n),
         )
 
-    return (
-        F.when(
-            w.endswith("ed"),
-            F.when(
-                w.endswith("eed"),
-                F.when(w.rlike(_measure_above(0, 3)), _drop(w, 1)).otherwise(w),
-            ).otherwise(tidy("ed")),
-        )
-        .when(w.endswith("ing"), tidy("ing"))
-        .otherwise(w)
+    eed = _case((_like(_measure_above(0, 3)), _drop(1)))
+    return _case(
+        (_ends("ed"), _case((_ends("eed"), eed), otherwise=tidy("ed"))),
+        (_ends("ing"), tidy("ing")),
     )
 
 
-def _step_1c(w: Column) -> Column:
-    return F.when(
-        w.endswith("y"), F.when(w.rlike(_has_vowel(1)), _drop(w, 1, "i")).otherwise(w)
-    ).otherwise(w)
+def _step_1c() -> str:
+    return _case((_ends("y"), _case((_like(_has_vowel(1)), _drop(1, "i")))))
 
 
-def _replacing(rules: tuple[tuple[str, str], ...]) -> Callable[[Column], Column]:
+def _replacing(rules: tuple[tuple[str, str], ...]) -> str:
     table = dict(rules)
-
-    def step(w: Column) -> Column:
-        return _suffix_case(
-            w,
-            list(table),
-            lambda s: F.when(w.rlike(_measure_above(0, len(s))), _swap(w, s, table[s])).otherwise(w),
-        )
-
-    return step
+    return _by_suffix(
+        table, lambda s: _case((_like(_measure_above(0, len(s))), _swap(s, table[s])))
+    )
 
 
-def _step_4(w: Column) -> Column:
-    def strip(s: str) -> Column:
+def _step_4() -> str:
+    def strip(s: str) -> str:
         n = 3 if s in ("sion", "tion") else len(s)  # only "ion" goes
-        return F.when(w.rlike(_measure_above(1, n)), _drop(w, n)).otherwise(w)
+        return _case((_like(_measure_above(1, n)), _drop(n)))
 
-    return _suffix_case(w, list(STEP_4), strip)
+    return _by_suffix(STEP_4, strip)
 
 
-def _step_5(w: Column) -> Column:
-    silent = w.rlike(_measure_above(0, 1)) & ~w.rlike(_short("e"))
-    less_e = F.when(w.endswith("lle") & w.rlike(_measure_above(1, 1)), _drop(w, 2)).otherwise(
-        _drop(w, 1)
+def _step_5() -> str:
+    silent = f"{_like(_measure_above(0, 1))} AND NOT {_like(_short('e'))}"
+    less_e = _case(
+        (f"{_ends('lle')} AND {_like(_measure_above(1, 1))}", _drop(2)), otherwise=_drop(1)
     )
-    return (
-        F.when(w.endswith("e"), F.when(silent, less_e).otherwise(w))
-        .when(w.endswith("ll"), F.when(w.rlike(_measure_above(1, 0)), _drop(w, 1)).otherwise(w))
-        .otherwise(w)
+    return _case(
+        (_ends("e"), _case((silent, less_e))),
+        (_ends("ll"), _case((_like(_measure_above(1, 0)), _drop(1)))),
     )
 
 
-def steps(revision: str = "revised") -> list[Callable[[Column], Column]]:
+def steps(revision: str = "revised") -> list[str]:
+    """The steps, each an SQL expression over the word ``w``."""
     if revision not in REVISIONS:
         raise ValueError(f"revision must be one of {REVISIONS}, got {revision!r}")
     step_2 = STEP_2 if revision == "revised" else STEP_2_AS_PRINTED
     return [
-        _step_1a,
-        _step_1b,
-        _step_1c,
+        _step_1a(),
+        _step_1b(),
+        _step_1c(),
         _replacing(step_2),
         _replacing(STEP_3),
-        _step_4,
-        _step_5,
+        _step_4(),
+        _step_5(),
     ]
 
 
 def with_stem(df: DataFrame, word: str, out: str, revision: str = "revised") -> DataFrame:
     """Add column ``out``, the stem of column ``word``: one word per row, generated code."""
-    df = df.withColumn(out, F.col(word))
+    if "w" in df.columns and word != "w":
+        raise ValueError("column w is needed for the steps")
+    stemmed = df.withColumn("w", F.col(word))
     for step in steps(revision):
-        df = df.withColumn(out, step(F.col(out)))
-    return df
+        stemmed = stemmed.withColumn("w", F.expr(step))
+    return stemmed.withColumnRenamed("w", out)
 
 
-def stem_all(words: Column, revision: str = "revised") -> Column:
-    """Stem each element of an array column."""
+def stem_all(words: str, revision: str = "revised") -> Column:
+    """Stem each element of the array column named ``words``."""
+    nested = words
     for step in steps(revision):
-        words = F.transform(words, step)
-    return words
+        nested = f"transform({nested}, w -> {step})"
+    return F.expr(nested)
 
 
 def word_prefixes(stems: Iterable[str], longest: int = 4) -> dict[int, list[str]]:

@@ -39,8 +39,8 @@ def document_frequency(
     row, so only per-task sums of ``(term, df)`` are shuffled.
     """
     words = with_words(records.select(text), stopwords=stopwords, text=text, min_len=min_len)
-    stems = stem_all(F.array_distinct("words"), revision)
-    terms = words.select(F.array_distinct(stems).alias("words"))
+    distinct = words.select(F.array_distinct("words").alias("words"))
+    terms = distinct.select(F.array_distinct(stem_all("words", revision)).alias("words"))
     return (
         exploded_words(terms, "term")
         .where(F.col("term") != "")
@@ -75,11 +75,10 @@ def _term_runs(
     """``(<record columns>, term, tf)`` counted inside each row, one row per record and term."""
     words = with_words(records, stopwords=stopwords, text=text, min_len=min_len)
     kept = [c for c in words.columns if c != "words"]
-    found = F.col("words")
     if terms is not None:
         # most words cannot stem to a listed term: drop them before the stemmer
-        found = F.filter(found, lambda w: may_stem_to(w, terms))
-    stems = stem_all(found, revision)
+        words = words.withColumn("words", F.filter("words", lambda w: may_stem_to(w, terms)))
+    stems = stem_all("words", revision)
     if terms is not None:
         stems = F.filter(stems, lambda t: t.isin(terms))
     counted = with_runs(words.select(*kept, stems.alias("__terms")), "__terms", "__runs")

@@ -27,11 +27,13 @@ def file_doc_id(path: Column) -> Column:
 def _lines_of(text: Column, max_line: int | None) -> Column:
     """The lines of a text; a terminator ends a line, so none follows the last one."""
     if max_line is None:
-        pieces = F.split(text, LINE_END)
-        return F.when(
-            F.endswith(text, F.lit("\n")) | F.endswith(text, F.lit("\r")) | (text == ""),
-            F.slice(pieces, 1, F.size(pieces) - 1),
-        ).otherwise(pieces)
+        n = F.length(text)
+        unended = (
+            F.when(F.endswith(text, F.lit("\r\n")), F.substring(text, 1, n - 2))
+            .when(F.endswith(text, F.lit("\n")) | F.endswith(text, F.lit("\r")), F.substring(text, 1, n - 1))
+            .otherwise(text)
+        )
+        return F.when(text != "", F.split(unended, LINE_END))
     kept = F.filter(
         F.split(text, _AFTER_LINE_END),
         lambda line: (line != "") & (F.octet_length(line) < max_line),
