@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.tokens import only, tokens, without
+from wordloom.session import pinned
 from wordloom.sources.lists import WordList, literal_words, word_frame
 
 
@@ -47,10 +48,13 @@ def _joined(records: DataFrame, listed: DataFrame, how: str) -> DataFrame:
     """Filter ``words`` by a list of any length; the optimiser picks the join by size.
 
     A frequent word makes one large join key: adaptive execution splits it.  The
-    regrouping is by record, so a group is never larger than a record was.
+    regrouping is by record, so a group is never larger than a record was.  The
+    record ids are pinned, since a task that runs again could number its rows
+    in another order.
     """
     kept = [c for c in records.columns if c != "words"]
-    exploded = records.withColumn("__rec", F.monotonically_increasing_id()).select(
+    numbered = pinned(records.withColumn("__rec", F.monotonically_increasing_id()))
+    exploded = numbered.select(
         "__rec", *kept, F.posexplode_outer("words").alias("__pos", "word")
     )
     back = (

@@ -1,3 +1,3 @@
-from wordloom.plans.pipelines import cooccurrence, top_term_scores, top_terms, top_words
+from wordloom.plans.pipelines import LAYOUTS, cooccurrence, top_term_scores, top_terms, top_words
 
-__all__ = ["cooccurrence", "top_term_scores", "top_terms", "top_words"]
+__all__ = ["LAYOUTS", "cooccurrence", "top_term_scores", "top_terms", "top_words"]

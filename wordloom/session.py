@@ -1,4 +1,4 @@
-"""A local session for tests, benchmarks and trying things out.
+"""A local session for tests, benchmarks and trying things out, and pinned results.
 
 On a cluster the session comes from ``spark-submit``; nothing in the package
 changes its settings.
@@ -6,7 +6,9 @@ changes its settings.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, *, memory: str = "8g", **conf: str) -> SparkSession:
@@ -19,9 +21,25 @@ def local_session(cores: int | str = 8, *, memory: str = "8g", **conf: str) -> S
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and keep it in the shared folder ``spark.checkpoint.dir``.
+
+    For values that a repeated task may compute differently, such as generated
+    ids: after the loss of an executor every reader still sees the same ones.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if shared is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="wordloom-"))
+    return df.checkpoint()

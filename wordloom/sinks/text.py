@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def pair_text(pairs: DataFrame) -> DataFrame:
-    """``(pair, n)`` with pair ``(l,r)`` as one string."""
-    return pairs.select(F.format_string("(%s,%s)", "l", "r").alias("pair"), "n")
+    """``l`` and ``r`` as one string, ``(l,r)``, in column ``pair``."""
+    kept = [c for c in pairs.columns if c not in ("l", "r", "n")]
+    return pairs.select(*kept, F.format_string("(%s,%s)", "l", "r").alias("pair"), "n")
 
 
 def stripe_text(stripes: DataFrame) -> DataFrame:
@@ -31,14 +32,21 @@ def tsv_lines(df: DataFrame, out: str = "value") -> DataFrame:
     return df.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in df.columns]).alias(out))
 
 
-def write_tsv(df: DataFrame, path: str, *keys: str, single_file: bool = False) -> None:
-    """Write the columns tab-separated in order of ``keys``; an existing target is an error.
+def write_tsv(
+    df: DataFrame,
+    path: str,
+    *order: str | Column,
+    columns: list[str] | None = None,
+    single_file: bool = False,
+) -> None:
+    """Write the columns tab-separated in the given order; an existing target is an error.
 
     The files of the target, taken by name, are in order as a whole.
+    ``columns`` picks what is written, e.g. less than the order needs.
     ``single_file`` sorts and writes in one task: for small results only.
     """
     if single_file:
-        ordered = df.coalesce(1).sortWithinPartitions(*keys) if keys else df.coalesce(1)
+        ordered = df.coalesce(1).sortWithinPartitions(*order) if order else df.coalesce(1)
     else:
-        ordered = df.orderBy(*keys) if keys else df
-    tsv_lines(ordered).write.mode("errorifexists").text(path)
+        ordered = df.orderBy(*order) if order else df
+    tsv_lines(ordered.select(columns or df.columns)).write.mode("errorifexists").text(path)
