@@ -14,21 +14,18 @@ def with_runs(df: DataFrame, values: str, out: str) -> DataFrame:
     Each step is a projection of its own: an array that several expressions
     use is then computed once.
     """
-    s, start = F.col("__sorted"), F.col("__starts")
-    sorted_ = df.withColumn("__sorted", F.sort_array(values)).drop(values)
-    starts = F.filter(
-        F.transform(s, lambda v, i: F.when((i == 0) | (F.get(s, i - 1) != v), i)),
-        lambda i: i.isNotNull(),
-    )
-    runs = F.transform(
-        start,
-        lambda at, j: F.struct(
-            F.get(s, at).alias("value"),
-            (F.coalesce(F.get(start, j + 1), F.size(s)) - at).cast("long").alias("n"),
+    kept = [c for c in df.columns if c != values]
+    runs = df.select(*kept, F.sort_array(values).alias("__sorted")).withColumn(
+        "__starts",
+        F.expr(
+            "filter(transform(__sorted, (v, i) -> "
+            "CASE WHEN i = 0 OR get(__sorted, i - 1) != v THEN i END), i -> i IS NOT NULL)"
         ),
     )
-    return (
-        sorted_.withColumn("__starts", starts)
-        .withColumn(out, runs)
-        .drop("__sorted", "__starts")
+    return runs.select(
+        *kept,
+        F.expr(
+            "transform(__starts, (at, j) -> named_struct('value', get(__sorted, at), 'n', "
+            "CAST(coalesce(get(__starts, j + 1), size(__sorted)) - at AS BIGINT)))"
+        ).alias(out),
     )

@@ -16,6 +16,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.functions.tokens import sql_list
+
 # The suffix rules of the published algorithm, step by step, in
 # the order of the paper.  "revised" is the author's later public revision
 # (bli/logi), "1980" the rules as printed.
@@ -226,9 +228,10 @@ def word_prefixes(stems: Iterable[str], longest: int = 4) -> dict[int, list[str]
     return {n: sorted(found[n]) for n in sorted(found)}
 
 
-def may_stem_to(word: Column, stems: Iterable[str]) -> Column:
-    """Cheap test a word must pass if its stem is one of ``stems`` (never a false no)."""
-    test = F.lit(False)
-    for n, prefixes in word_prefixes(stems).items():
-        test = test | (F.lit(True) if n <= 0 else F.substring(word, 1, n).isin(prefixes))
-    return test
+def may_stem_to(stems: Iterable[str]) -> str:
+    """SQL test a word ``w`` must pass if its stem is one of ``stems`` (never a false no)."""
+    tests = [
+        f"substring(w, 1, {n}) IN ({sql_list(prefixes)})" if n > 0 else "true"
+        for n, prefixes in word_prefixes(stems).items()
+    ]
+    return " OR ".join(tests) or "false"

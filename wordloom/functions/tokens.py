@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -20,16 +21,20 @@ def tokens(text: Column, *, min_len: int = 3, case_sensitive: bool = False) -> C
     return F.regexp_extract_all(folded, F.lit(f"[a-z]{{{min_len},}}"), F.lit(0))
 
 
-def without(words: Column, unwanted: Iterable[str]) -> Column:
-    """Drop listed words; order and repeats of the others stay."""
-    unwanted = list(unwanted)
-    return F.filter(words, lambda w: ~w.isin(unwanted)) if unwanted else words
+def sql_list(words: Iterable[str]) -> str:
+    """``'a', 'b'`` for an IN; words that are not plain a-z equal no token and are left out."""
+    plain = sorted({w for w in words if re.fullmatch("[a-z]+", w)})
+    return ", ".join(f"'{w}'" for w in plain) or "NULL"
 
 
-def only(words: Column, wanted: Iterable[str]) -> Column:
-    """Keep listed words; order and repeats stay, positions become dense."""
-    wanted = list(wanted)
-    return F.filter(words, lambda w: w.isin(wanted))
+def without(words: str, unwanted: Iterable[str]) -> Column:
+    """Drop listed words from an array column; order and repeats of the others stay."""
+    return F.expr(f"filter({words}, w -> coalesce(w NOT IN ({sql_list(unwanted)}), true))")
+
+
+def only(words: str, wanted: Iterable[str]) -> Column:
+    """Keep listed words of an array column; order and repeats stay, positions become dense."""
+    return F.expr(f"filter({words}, w -> w IN ({sql_list(wanted)}))")
 
 
 def java_trim(text: Column) -> Column:

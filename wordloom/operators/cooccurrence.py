@@ -10,7 +10,7 @@ whose rows are already summed per task, and mirrors the small result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.arrays import with_runs
@@ -21,25 +21,25 @@ from wordloom.sources.lists import WordList, literal_words, settled, word_frame
 MAX_STRIPE = 1_000_000
 
 
-def _lags(distance: int, lone: bool) -> Column:
-    """The lags 1..distance a record is long enough for.
+# Words zipped with the words ``lag`` positions on: fields `0` and `1`.  At lag 0
+# the second field is null.
+_ZIPPED = """
+arrays_zip(slice(words, 1, size(words) - lag),
+           slice(words, lag + 1, CASE WHEN lag = 0 THEN 0 ELSE size(words) END))"""
+_LESSER = "least(p.`0`, p.`1`)"
+_GREATER = "CASE WHEN p.`1` IS NOT NULL THEN greatest(p.`0`, p.`1`) END"
+
+
+def _lags(distance: int, lone: bool) -> str:
+    """SQL array of the lags 1..distance a record is long enough for.
 
     Lag 0 stands for words without a neighbour, emitted only if ``lone``.
     """
-    n = F.size("words")
-    alone = F.when(n > 0, F.array(F.lit(0))) if lone else F.lit(None).cast("array<int>")
+    alone = "CASE WHEN size(words) > 0 THEN array(0) END" if lone else "CAST(NULL AS ARRAY<INT>)"
     if distance < 1:
         return alone
-    return F.when(n > 1, F.sequence(F.lit(1), F.least(F.lit(distance), n - 1))).otherwise(alone)
-
-
-def _at_lag(k: Column) -> Column:
-    """Words zipped with the words ``k`` positions on; for lag 0 with nulls."""
-    n = F.size("words")
-    return F.arrays_zip(
-        F.slice("words", 1, n - k).alias("x"),
-        F.slice("words", k + 1, F.when(k == 0, 0).otherwise(n)).alias("y"),
-    )
+    some = f"sequence(1, least({distance}, size(words) - 1))"
+    return f"CASE WHEN size(words) > 1 THEN {some} ELSE {alone} END"
 
 
 def _half_pairs(words: DataFrame, distance: int, lone: bool = False) -> DataFrame:
@@ -48,30 +48,30 @@ def _half_pairs(words: DataFrame, distance: int, lone: bool = False) -> DataFram
     One lag at a time: a record then never needs more memory than its words,
     however large the distance.
     """
-    zipped = (
-        words.select("words", F.explode_outer(_lags(distance, lone)).alias("lag"))
-        .select("lag", F.explode_outer(_at_lag(F.col("lag"))).alias("p"))
-        .where(F.col("p").isNotNull())
-    )
-    return zipped.select(
-        "lag",
-        F.least("p.x", "p.y").alias("l"),
-        F.when(F.col("p.y").isNotNull(), F.greatest("p.x", "p.y")).alias("r"),
+    return (
+        words.selectExpr("words", f"explode_outer({_lags(distance, lone)}) AS lag")
+        .selectExpr("lag", f"explode_outer({_ZIPPED}) AS p")
+        .where("p IS NOT NULL")
+        .selectExpr("lag", f"{_LESSER} AS l", f"{_GREATER} AS r")
     )
 
 
+def _near(words: DataFrame, distance: int, lone: bool) -> DataFrame:
+    """The pairs of all lags as one array per record, ``__near``."""
+    kept = [c for c in words.columns if c != "words"]
+    near = f"flatten(transform({_lags(distance, lone)}, lag -> {_ZIPPED}))"
+    return words.select(*kept, F.expr(near).alias("__near"))
+
+
 def _mirror(half: DataFrame) -> DataFrame:
     """Both triangles from one: ``(l, r, n)`` and ``(r, l, n)``, diagonal doubled."""
     kept = [c for c in half.columns if c not in ("l", "r", "n")]
-    as_is = F.struct("l", "r", "n")
-    turned = F.struct(F.col("r").alias("l"), F.col("l").alias("r"), "n")
-    doubled = F.struct("l", "r", (F.col("n") * 2).alias("n"))
-    both = (
-        F.when(F.col("r").isNull(), F.array(as_is))
-        .when(F.col("l") == F.col("r"), F.array(doubled))
-        .otherwise(F.array(as_is, turned))
-    )
-    return half.select(*kept, F.explode_outer(both).alias("p")).select(*kept, "p.l", "p.r", "p.n")
+    both = """
+    CASE WHEN r IS NULL THEN array(struct(l, r, n))
+         WHEN l = r THEN array(struct(l, r, n * 2 AS n))
+         ELSE array(struct(l, r, n), struct(r AS l, l AS r, n)) END"""
+    mirrored = half.select(*kept, F.expr(f"explode_outer({both})").alias("p"))
+    return mirrored.select(*kept, "p.l", "p.r", "p.n")
 
 
 def _summed(half: DataFrame) -> DataFrame:
@@ -107,20 +107,14 @@ def pairs_sweep(
     words = with_words(
         records.select(text), stopwords=stopwords, vocabulary=vocabulary, text=text, min_len=min_len
     )
-    upto = [
-        F.count_if(F.col("lag") <= d).alias(f"n{d}") for d in range(1, max(max_distance, 1) + 1)
-    ]
+    distances = range(1, max(max_distance, 1) + 1)
+    upto = [F.expr(f"count_if(lag <= {d}) AS n{d}") for d in distances]
     wide = _half_pairs(words, max_distance).groupBy("l", "r").agg(*upto)
-    per_d = F.array(
-        *[
-            F.struct(F.lit(d).cast("long").alias("d"), F.col(f"n{d}").alias("n"))
-            for d in range(1, len(upto) + 1)
-        ]
-    )
+    per_d = ", ".join(f"struct({d}L AS d, n{d} AS n)" for d in distances)
     half = (
-        wide.select("l", "r", F.explode_outer(per_d).alias("c"))
+        wide.selectExpr("l", "r", f"explode_outer(array({per_d})) AS c")
         .select("c.d", "l", "r", "c.n")
-        .where(F.col("n") > 0)
+        .where("n > 0")
     )
     return _mirror(half)
 
@@ -141,21 +135,14 @@ def pairs_by_record(
     return _by_record(words, distance)
 
 
-def _by_record(words: DataFrame, distance: int, lone: bool = False) -> DataFrame:
+def _by_record(words: DataFrame, distance: int) -> DataFrame:
     kept = [c for c in words.columns if c != "words"]
-    near = words.select(
-        *kept, F.flatten(F.transform(_lags(distance, lone), _at_lag)).alias("__near")
-    )
-    half = F.transform(
-        "__near",
-        lambda p: F.struct(
-            F.least(p["x"], p["y"]).alias("l"),
-            F.when(p["y"].isNotNull(), F.greatest(p["x"], p["y"])).alias("r"),
-        ),
-    )
-    counted = with_runs(near.select(*kept, half.alias("__half")), "__half", "__runs")
-    rows = counted.select(*kept, F.explode_outer("__runs").alias("c")).where(
-        F.col("c").isNotNull()
+    half = F.expr(f"transform(__near, p -> struct({_LESSER} AS l, {_GREATER} AS r))")
+    near = _near(words, distance, lone=False).select(*kept, half.alias("__half"))
+    rows = (
+        with_runs(near, "__half", "__runs")
+        .select(*kept, F.explode_outer("__runs").alias("c"))
+        .where("c IS NOT NULL")
     )
     return _mirror(rows.select(*kept, "c.value.l", "c.value.r", "c.n"))
 
@@ -184,7 +171,7 @@ def stripes(
     words = with_words(
         records.select(text), stopwords=stopwords, vocabulary=vocabulary, text=text, min_len=min_len
     )
-    return _striped(_mirror(_summed(_half_pairs(words, distance, lone=keep_isolated))), [])
+    return _striped(_mirror(_summed(_half_pairs(words, distance, lone=keep_isolated))))
 
 
 def stripes_by_record(
@@ -208,51 +195,30 @@ def stripes_by_record(
 def _record_stripes(words: DataFrame, distance: int, lone: bool) -> DataFrame:
     """Row-local: count the ordered pairs of a record, then cut the sorted runs into stripes."""
     kept = [c for c in words.columns if c != "words"]
-    near = words.select(
-        *kept, F.flatten(F.transform(_lags(distance, lone), _at_lag)).alias("__near")
-    )
-    both = F.flatten(
-        F.transform(
-            "__near",
-            lambda p: F.when(
-                p["y"].isNull(), F.array(F.struct(p["x"].alias("l"), p["y"].alias("r")))
-            ).otherwise(
-                F.array(
-                    F.struct(p["x"].alias("l"), p["y"].alias("r")),
-                    F.struct(p["y"].alias("l"), p["x"].alias("r")),
-                )
-            ),
-        )
+    both = F.expr(
+        "flatten(transform(__near, p -> CASE WHEN p.`1` IS NULL THEN array(struct(p.`0` AS l, p.`1` AS r)) "
+        "ELSE array(struct(p.`0` AS l, p.`1` AS r), struct(p.`1` AS l, p.`0` AS r)) END))"
     )
-    counted = with_runs(near.select(*kept, both.alias("__both")), "__both", "__runs")
-    first = F.filter(
-        F.transform(
-            "__runs",
-            lambda c, i: F.when(
-                (i == 0) | (F.get("__runs", i - 1)["value"]["l"] != c["value"]["l"]), i
-            ),
-        ),
-        lambda i: i.isNotNull(),
+    near = _near(words, distance, lone).select(*kept, both.alias("__both"))
+    first = F.expr(
+        "filter(transform(__runs, (c, i) -> CASE WHEN i = 0 OR get(__runs, i - 1).value.l != c.value.l "
+        "THEN i END), i -> i IS NOT NULL)"
     )
-    cut = F.transform(
-        "__first",
-        lambda at, j: F.struct(
-            F.get("__runs", at)["value"]["l"].alias("word"),
-            F.slice(
-                "__runs", at + 1, F.coalesce(F.get("__first", j + 1), F.size("__runs")) - at
-            ).alias("run"),
-        ),
+    cut = F.expr(
+        "explode_outer(transform(__first, (at, j) -> struct(get(__runs, at).value.l AS word, "
+        "slice(__runs, at + 1, coalesce(get(__first, j + 1), size(__runs)) - at) AS run)))"
     )
-    rows = (
-        counted.withColumn("__first", first)
-        .select(*kept, F.explode_outer(cut).alias("s"))
-        .where(F.col("s").isNotNull())
+    entries = F.expr(
+        "map_from_entries(transform(filter(s.run, c -> c.value.r IS NOT NULL), "
+        "c -> struct(c.value.r AS r, c.n AS n)))"
     )
-    entries = F.transform(
-        F.filter("s.run", lambda c: c["value"]["r"].isNotNull()),
-        lambda c: F.struct(c["value"]["r"].alias("r"), c["n"].alias("n")),
+    return (
+        with_runs(near, "__both", "__runs")
+        .withColumn("__first", first)
+        .select(*kept, cut.alias("s"))
+        .where("s IS NOT NULL")
+        .select(*kept, "s.word", entries.alias("stripe"))
     )
-    return rows.select(*kept, "s.word", F.map_from_entries(entries).alias("stripe"))
 
 
 def merge_stripes(by_record: DataFrame) -> DataFrame:
@@ -261,21 +227,17 @@ def merge_stripes(by_record: DataFrame) -> DataFrame:
     Entries are summed one by one, so a frequent word's stripes are never
     gathered in one place before they are small.
     """
-    entries = F.when(
-        F.size("stripe") > 0, F.map_entries("stripe")
-    ).otherwise(F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(0).cast("long").alias("value"))))
-    half = by_record.select(F.col("word").alias("l"), F.explode_outer(entries).alias("e"))
-    summed = half.groupBy("l", F.col("e.key").alias("r")).agg(F.sum("e.value").alias("n"))
-    return _striped(summed, [])
+    half = by_record.selectExpr("word AS l", "explode_outer(stripe) AS (r, n)")
+    return _striped(half.groupBy("l", "r").agg(F.sum("n").alias("n")))
 
 
-def _striped(matrix: DataFrame, kept: list[str]) -> DataFrame:
+def _striped(matrix: DataFrame) -> DataFrame:
     """Gather ``(l, r, n)`` rows by ``l``; a row with ``r`` null only keeps its word."""
-    entry = F.when(F.col("r").isNotNull(), F.struct("r", "n"))
+    entry = F.expr("CASE WHEN r IS NOT NULL THEN struct(r, n) END")
     return (
-        matrix.groupBy(*kept, "l")
+        matrix.groupBy("l")
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-        .select(*kept, F.col("l").alias("word"), F.map_from_entries("entries").alias("stripe"))
+        .select(F.col("l").alias("word"), F.map_from_entries("entries").alias("stripe"))
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.arrays import with_runs
 from wordloom.functions.porter import may_stem_to, stem_all, with_stem
+from wordloom.functions.tokens import only
 from wordloom.operators.words import exploded_words, with_words
 from wordloom.sources.lists import LITERAL_LIMIT, WordList
 
@@ -77,11 +78,11 @@ def _term_runs(
     kept = [c for c in words.columns if c != "words"]
     if terms is not None:
         # most words cannot stem to a listed term: drop them before the stemmer
-        words = words.withColumn("words", F.filter("words", lambda w: may_stem_to(w, terms)))
-    stems = stem_all("words", revision)
+        words = words.withColumn("words", F.expr(f"filter(words, w -> {may_stem_to(terms)})"))
+    stems = words.select(*kept, stem_all("words", revision).alias("__terms"))
     if terms is not None:
-        stems = F.filter(stems, lambda t: t.isin(terms))
-    counted = with_runs(words.select(*kept, stems.alias("__terms")), "__terms", "__runs")
+        stems = stems.withColumn("__terms", only("__terms", terms))
+    counted = with_runs(stems, "__terms", "__runs")
     return (
         counted.select(*kept, F.explode_outer("__runs").alias("c"))
         .where(F.col("c").isNotNull())

@@ -27,15 +27,13 @@ def with_words(
     """
     kept = [c for c in records.columns if c != text]
     words = tokens(F.col(text), min_len=min_len, case_sensitive=case_sensitive)
+    out = records.select(*kept, words.alias("words"))
     stop = literal_words(stopwords)
     keep = None if vocabulary is None else literal_words(vocabulary)
-    if keep is not None and stop is not None:
-        words = only(words, sorted(set(keep) - set(stop)))
-    elif keep is not None:
-        words = only(words, keep)
+    if keep is not None:
+        out = out.withColumn("words", only("words", set(keep) - set(stop or ())))
     elif stop:
-        words = without(words, stop)
-    out = records.select(*kept, words.alias("words"))
+        out = out.withColumn("words", without("words", stop))
     spark = records.sparkSession
     if stop is None:
         out = _joined(out, word_frame(spark, stopwords), "left_anti")
