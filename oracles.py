@@ -11,7 +11,7 @@ from __future__ import annotations
 STOPWORDS = ("and", "are", "das", "der", "des", "die", "for", "les", "que", "that", "the", "und", "was", "with")
 TOP_WORDS = 50
 TOP_TERMS = 100
-MANY_WORDS = 2000
+MANY_WORDS = 20_000
 N_DOCS = 10_000
 MAX_LINE = 120
 
@@ -46,12 +46,6 @@ def _tok(grain: str = "doc", *, stop: bool = True, folded: bool = True) -> str:
     return body if grain == "doc" else LINES + "," + body
 
 
-_TURNS = _TOKENS.format(
-    folded="lower(text)",
-    source="(SELECT conv_id AS doc_id, turn AS line_no, text FROM conversations)",
-    where="",
-)
-
 TOP = f"""
 top AS (
   SELECT word, count(*) AS n FROM tok GROUP BY word ORDER BY n DESC, word DESC LIMIT {TOP_WORDS}
@@ -246,8 +240,8 @@ FROM seq LEFT JOIN striped ON seq.doc_id = striped.doc_id AND seq.word = striped
 cells AS (SELECT l, r, count(*) AS n FROM near GROUP BY l, r),
 striped AS (SELECT l AS word, '{{' || {_CELL} || '}}' AS stripe FROM cells GROUP BY l)
 SELECT DISTINCT seq.word, coalesce(stripe, '{{}}') AS stripe FROM seq LEFT JOIN striped USING (word)""",
-        # short records and many words: some never have a neighbour and show as {}
-        "stripes_keep_isolated_turns_d1": f"""WITH {_TURNS}, {TOP.replace(str(TOP_WORDS), str(MANY_WORDS))}, {SEQ}, {_near(1)},
+        # a list too long for literals; some of its words never have a neighbour and show as {}
+        "stripes_many_words_d1": f"""WITH {_tok('line')}, {TOP.replace(f'LIMIT {TOP_WORDS}', f'LIMIT {MANY_WORDS}')}, {SEQ}, {_near(1)},
 cells AS (SELECT l, r, count(*) AS n FROM near GROUP BY l, r),
 striped AS (SELECT l AS word, '{{' || {_CELL} || '}}' AS stripe FROM cells GROUP BY l)
 SELECT DISTINCT seq.word, coalesce(stripe, '{{}}') AS stripe FROM seq LEFT JOIN striped USING (word)""",

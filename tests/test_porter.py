@@ -93,14 +93,23 @@ def test_column_form_equals_array_form(spark):
     assert [column[w] for w in words] == spark_stems(spark, words)
 
 
+def starts_right(word, revision="revised"):
+    (prefix,) = next(iter(word_prefixes([plain.stem(word, revision)], longest=99).values()))
+    return word.startswith(prefix)
+
+
 @given(st.text(alphabet="abeilnstyz", min_size=3, max_size=12))
-def test_stem_less_last_letter_is_prefix(word):
-    stem = plain.stem(word)
-    assert word.startswith(stem[:-1])
+def test_word_starts_with_prefix_of_its_stem(word):
+    assert starts_right(word) and starts_right(word, "1980")
 
 
 def test_prefix_property_on_odd_words():
-    assert [w for w in odd_words() if not w.startswith(plain.stem(w)[:-1])] == []
+    assert [w for w in odd_words() if not (starts_right(w) and starts_right(w, "1980"))] == []
+
+
+def test_prefix_property_on_the_vocabulary(docs):
+    words = {w for r in docs.collect() for w in plain.tokens(r.text)}
+    assert [w for w in words if not starts_right(w)] == []
 
 
 def test_prefix_test_never_rejects_a_hit(spark):
@@ -109,4 +118,4 @@ def test_prefix_test_never_rejects_a_hit(spark):
         df = spark.createDataFrame([(w,) for w in words], "w string")
         passed = {r.w for r in df.where(may_stem_to(stems)).collect()}
         assert {w for w in words if plain.stem(w) in stems} <= passed
-    assert word_prefixes(["histori", "us", "a"]) == {0: [""], 1: ["u"], 4: ["hist"]}
+    assert word_prefixes(["histori", "us", "i", "durabl"]) == {0: [""], 2: ["us"], 5: ["durab", "histo"]}

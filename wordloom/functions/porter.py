@@ -215,15 +215,17 @@ def stem_all(words: str, revision: str = "revised") -> Column:
     return F.expr(nested)
 
 
-def word_prefixes(stems: Iterable[str], longest: int = 4) -> dict[int, list[str]]:
+def word_prefixes(stems: Iterable[str], longest: int = 5) -> dict[int, list[str]]:
     """Prefixes, by length, one of which every word with a stem in ``stems`` starts with.
 
-    The rules only cut endings, turn a final y into i, or put an e after what
-    is left, so a stem without its last letter is always a prefix of its word.
+    The rules cut endings, so a stem is a prefix of its word, but for three ways
+    to change the last letter: y becomes i, an e is put after what is left, and
+    bility becomes bl.
     """
     found: dict[int, set[str]] = {}
     for stem in stems:
-        n = min(len(stem) - 1, longest)
+        changed = stem.endswith(("i", "e", "bl"))
+        n = min(len(stem) - changed, longest)
         found.setdefault(n, set()).add(stem[:n])
     return {n: sorted(found[n]) for n in sorted(found)}
 

@@ -249,7 +249,7 @@ def stripes_to_pairs(striped: DataFrame) -> DataFrame:
 
 
 def _bounded(records: DataFrame, vocabulary: WordList) -> WordList:
-    """The vocabulary, looked at once and small enough for a stripe to be one row."""
+    """The vocabulary, looked at once and short enough for a stripe to be one row."""
     if vocabulary is None:
         raise ValueError("stripes need a vocabulary; use pairs for every word")
     vocabulary = settled(vocabulary)

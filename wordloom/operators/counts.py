@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.operators.words import exploded_words, with_words
-from wordloom.sources.lists import WordList, literal_words, word_frame
+from wordloom.sources.lists import WordList, literal_words, settled, word_frame
 
 
 def word_counts(
@@ -24,6 +24,7 @@ def word_counts(
     A stop list too long for literals is taken off the counted words, not off
     the tokens.
     """
+    stopwords = settled(stopwords)
     stop = literal_words(stopwords)
     words = with_words(
         records.select(text),

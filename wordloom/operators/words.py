@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.tokens import only, tokens, without
 from wordloom.session import pinned
-from wordloom.sources.lists import WordList, literal_words, word_frame
+from wordloom.sources.lists import WordList, literal_words, settled, word_frame
 
 
 def with_words(
@@ -28,6 +28,7 @@ def with_words(
     kept = [c for c in records.columns if c != text]
     words = tokens(F.col(text), min_len=min_len, case_sensitive=case_sensitive)
     out = records.select(*kept, words.alias("words"))
+    stopwords, vocabulary = settled(stopwords), settled(vocabulary)
     stop = literal_words(stopwords)
     keep = None if vocabulary is None else literal_words(vocabulary)
     if keep is not None:

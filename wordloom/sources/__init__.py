@@ -1,7 +1,8 @@
 from wordloom.sources.corpus import file_doc_id, lines, read_table, read_text, records, spread
-from wordloom.sources.lists import parse_df_table, parse_words, read_df_table, read_words, settled
+from wordloom.sources.lists import WordList, parse_df_table, parse_words, read_df_table, read_words, settled
 
 __all__ = [
+    "WordList",
     "file_doc_id",
     "lines",
     "parse_df_table",

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from typing import NamedTuple, Union
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions.tokens import java_trim
+from wordloom.session import pinned
 
 #: Lists up to this many words become literals of the plan, hashed once per
 #: task.  Longer lists stay DataFrames and are joined.
 LITERAL_LIMIT = 10_000
 
-WordList = Iterable[str] | DataFrame | None
+WordList = Union[Iterable[str], DataFrame, "LongList", None]
 
 
 def parse_words(lines: DataFrame, *, raw: bool = False) -> DataFrame:
@@ -61,32 +63,42 @@ def read_df_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_df_table(spark.read.text(path).select("value", at.alias("pos")))
 
 
-def literal_words(words: WordList) -> list[str] | None:
-    """The words, sorted, if they are few enough for literals, else None.
+class LongList(NamedTuple):
+    """A list known to be longer than ``LITERAL_LIMIT``."""
+
+    frame: DataFrame
+
+
+def settled(words: WordList) -> list[str] | LongList | None:
+    """Find out once how long a list is: few words as a list, more as a :class:`LongList`.
 
     A DataFrame is looked at through ``limit``, so at most ``LITERAL_LIMIT + 1``
-    words ever reach the driver.
+    words ever reach the driver; a long one is kept in the shared folder, so
+    that it is computed once.
     """
-    if words is None:
-        return []
-    if isinstance(words, DataFrame):
-        rows = words.select(words.columns[0]).distinct().limit(LITERAL_LIMIT + 1).collect()
-        found = {r[0] for r in rows}
-    else:
-        found = set(words)
-    return sorted(found) if len(found) <= LITERAL_LIMIT else None
+    if words is None or isinstance(words, LongList):
+        return words
+    if not isinstance(words, DataFrame):
+        return sorted(set(words))
+    distinct = words.select(F.col(words.columns[0]).alias("word")).distinct()
+    rows = distinct.limit(LITERAL_LIMIT + 1).collect()
+    if len(rows) <= LITERAL_LIMIT:
+        return sorted(r.word for r in rows if r.word is not None)
+    return LongList(pinned(distinct))
 
 
-def settled(words: WordList) -> list[str] | DataFrame | None:
-    """A DataFrame of few words as a list, so that it is computed once; else as it is."""
-    if not isinstance(words, DataFrame):
-        return None if words is None else list(words)
-    found = literal_words(words)
-    return words if found is None else found
+def literal_words(words: WordList) -> list[str] | None:
+    """The words, sorted, if they are few enough for literals, else None; no list, no words."""
+    found = settled(words)
+    if found is None:
+        return []
+    return None if isinstance(found, LongList) or len(found) > LITERAL_LIMIT else found
 
 
-def word_frame(spark: SparkSession, words: Iterable[str] | DataFrame) -> DataFrame:
+def word_frame(spark: SparkSession, words: WordList) -> DataFrame:
     """The words as a DataFrame with the one column ``word``, no repeats."""
+    if isinstance(words, LongList):
+        return words.frame
     if isinstance(words, DataFrame):
         return words.select(F.col(words.columns[0]).alias("word")).distinct()
     return spark.createDataFrame([(w,) for w in sorted(set(words))], "word string")
