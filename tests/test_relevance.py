@@ -109,3 +109,17 @@ def test_pipeline_equals_its_parts(docs):
     whole = plans.top_term_scores(docs, k=10, stopwords=STOP)
     parts = op.tfidf(docs, plans.top_terms(docs, 10, stopwords=STOP), stopwords=STOP)
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))
+
+
+def test_record_columns_may_have_any_name(spark):
+    """Short names of the expressions do not get in the way of the caller's columns."""
+    docs = spark.createDataFrame(
+        [(1, 2, 3, 4, 5, 6, 7, "time moon time")],
+        "c int, s int, p int, v int, i int, at int, lag int, text string",
+    )
+    df = table(spark, [("time", 2)])
+    assert op.tfidf(docs, df).count() == 1
+    assert tuple(op.term_frequency(docs, df).first()) == (1, 2, 3, 4, 5, 6, 7, "time", 2)
+    assert op.pairs_by_record(docs, None, 1).count() == 2
+    assert op.stripes_by_record(docs, ["time", "moon"], 1).count() == 2
+    assert sources.records(docs, "line").count() == 1

@@ -70,8 +70,8 @@ def _mirror(half: DataFrame) -> DataFrame:
     CASE WHEN r IS NULL THEN array(struct(l, r, n))
          WHEN l = r THEN array(struct(l, r, n * 2 AS n))
          ELSE array(struct(l, r, n), struct(r AS l, l AS r, n)) END"""
-    mirrored = half.select(*kept, F.expr(f"explode_outer({both})").alias("p"))
-    return mirrored.select(*kept, "p.l", "p.r", "p.n")
+    mirrored = half.select(*kept, F.expr(f"explode_outer({both})").alias("__p"))
+    return mirrored.select(*kept, "__p.l", "__p.r", "__p.n")
 
 
 def _summed(half: DataFrame) -> DataFrame:
@@ -141,10 +141,10 @@ def _by_record(words: DataFrame, distance: int) -> DataFrame:
     near = _near(words, distance, lone=False).select(*kept, half.alias("__half"))
     rows = (
         with_runs(near, "__half", "__runs")
-        .select(*kept, F.explode_outer("__runs").alias("c"))
-        .where("c IS NOT NULL")
+        .select(*kept, F.explode_outer("__runs").alias("__c"))
+        .where("__c IS NOT NULL")
     )
-    return _mirror(rows.select(*kept, "c.value.l", "c.value.r", "c.n"))
+    return _mirror(rows.select(*kept, "__c.value.l", "__c.value.r", "__c.n"))
 
 
 def roll_up(by_record: DataFrame) -> DataFrame:
@@ -209,15 +209,15 @@ def _record_stripes(words: DataFrame, distance: int, lone: bool) -> DataFrame:
         "slice(__runs, at + 1, coalesce(get(__first, j + 1), size(__runs)) - at) AS run)))"
     )
     entries = F.expr(
-        "map_from_entries(transform(filter(s.run, c -> c.value.r IS NOT NULL), "
+        "map_from_entries(transform(filter(__s.run, c -> c.value.r IS NOT NULL), "
         "c -> struct(c.value.r AS r, c.n AS n)))"
     )
     return (
         with_runs(near, "__both", "__runs")
         .withColumn("__first", first)
-        .select(*kept, cut.alias("s"))
-        .where("s IS NOT NULL")
-        .select(*kept, "s.word", entries.alias("stripe"))
+        .select(*kept, cut.alias("__s"))
+        .where("__s IS NOT NULL")
+        .select(*kept, "__s.word", entries.alias("stripe"))
     )
 
 

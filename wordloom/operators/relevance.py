@@ -84,9 +84,9 @@ def _term_runs(
         stems = stems.withColumn("__terms", only("__terms", terms))
     counted = with_runs(stems, "__terms", "__runs")
     return (
-        counted.select(*kept, F.explode_outer("__runs").alias("c"))
-        .where(F.col("c").isNotNull())
-        .select(*kept, F.col("c.value").alias("term"), F.col("c.n").alias("tf"))
+        counted.select(*kept, F.explode_outer("__runs").alias("__c"))
+        .where(F.col("__c").isNotNull())
+        .select(*kept, F.col("__c.value").alias("term"), F.col("__c.n").alias("tf"))
     )
 
 
