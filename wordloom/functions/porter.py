@@ -233,7 +233,7 @@ def word_prefixes(stems: Iterable[str], longest: int = 5) -> dict[int, list[str]
 def may_stem_to(stems: Iterable[str]) -> str:
     """SQL test a word ``w`` must pass if its stem is one of ``stems`` (never a false no)."""
     tests = [
-        f"substring(w, 1, {n}) IN ({sql_list(prefixes)})" if n > 0 else "true"
+        f"substring(w, 1, {n}) IN ({sql_list(prefixes) or 'NULL'})" if n > 0 else "true"
         for n, prefixes in word_prefixes(stems).items()
     ]
     return " OR ".join(tests) or "false"

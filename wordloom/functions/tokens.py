@@ -24,17 +24,18 @@ def tokens(text: Column, *, min_len: int = 3, case_sensitive: bool = False) -> C
 def sql_list(words: Iterable[str]) -> str:
     """``'a', 'b'`` for an IN; words that are not plain a-z equal no token and are left out."""
     plain = sorted({w for w in words if re.fullmatch("[a-z]+", w)})
-    return ", ".join(f"'{w}'" for w in plain) or "NULL"
+    return ", ".join(f"'{w}'" for w in plain)
 
 
 def without(words: str, unwanted: Iterable[str]) -> Column:
     """Drop listed words from an array column; order and repeats of the others stay."""
-    return F.expr(f"filter({words}, w -> coalesce(w NOT IN ({sql_list(unwanted)}), true))")
+    listed = sql_list(unwanted)
+    return F.expr(f"filter({words}, w -> w NOT IN ({listed}))") if listed else F.col(words)
 
 
 def only(words: str, wanted: Iterable[str]) -> Column:
     """Keep listed words of an array column; order and repeats stay, positions become dense."""
-    return F.expr(f"filter({words}, w -> w IN ({sql_list(wanted)}))")
+    return F.expr(f"filter({words}, w -> w IN ({sql_list(wanted) or 'NULL'}))")
 
 
 def java_trim(text: Column) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.functions.tokens import sql_list
 from wordloom.operators.words import exploded_words, with_words
 from wordloom.sources.lists import WordList, literal_words, settled, word_frame
 
@@ -21,19 +22,18 @@ def word_counts(
 ) -> DataFrame:
     """``(word, n)``.  Counts are summed in the scan stage before the one shuffle.
 
-    A stop list too long for literals is taken off the counted words, not off
-    the tokens.
+    The stop list is applied to rows, in generated code, not inside the arrays;
+    one too long for literals is taken off the counted words.
     """
     stopwords = settled(stopwords)
     stop = literal_words(stopwords)
     words = with_words(
-        records.select(text),
-        stopwords=stop,
-        text=text,
-        min_len=min_len,
-        case_sensitive=case_sensitive,
+        records.select(text), text=text, min_len=min_len, case_sensitive=case_sensitive
     )
-    counts = exploded_words(words).groupBy("word").agg(F.count("*").alias("n"))
+    rows = exploded_words(words)
+    if stop and sql_list(stop):
+        rows = rows.where(f"word NOT IN ({sql_list(stop)})")
+    counts = rows.groupBy("word").agg(F.count("*").alias("n"))
     if stop is None:
         counts = counts.join(word_frame(records.sparkSession, stopwords), "word", "left_anti")
     return counts

@@ -21,9 +21,10 @@ def stem_vocabulary(
     revision: str = "revised",
 ) -> DataFrame:
     """``(word, stem)`` for every distinct word."""
-    words = with_words(records.select(text), stopwords=stopwords, text=text, min_len=min_len)
-    distinct = words.select(F.array_distinct("words").alias("words"))
-    return with_stem(exploded_words(distinct).distinct(), "word", "stem", revision)
+    words = with_words(
+        records.select(text), stopwords=stopwords, text=text, min_len=min_len, distinct=True
+    )
+    return with_stem(exploded_words(words).distinct(), "word", "stem", revision)
 
 
 def document_frequency(
@@ -39,9 +40,10 @@ def document_frequency(
     Distinct words, their stems and the distinct stems are all found inside the
     row, so only per-task sums of ``(term, df)`` are shuffled.
     """
-    words = with_words(records.select(text), stopwords=stopwords, text=text, min_len=min_len)
-    distinct = words.select(F.array_distinct("words").alias("words"))
-    terms = distinct.select(F.array_distinct(stem_all("words", revision)).alias("words"))
+    words = with_words(
+        records.select(text), stopwords=stopwords, text=text, min_len=min_len, distinct=True
+    )
+    terms = words.select(F.array_distinct(stem_all("words", revision)).alias("words"))
     return (
         exploded_words(terms, "term")
         .where(F.col("term") != "")
