@@ -73,6 +73,7 @@ def test_lines_are_split_once(scan):
 def test_document_frequency(scan):
     text = plan(op.document_frequency(scan, stopwords=STOP))
     assert exchanges(text) == 1 and "partial_count" in text
+    assert text.count("array_distinct") == 2  # words before, stems after the stemmer
     assert text.count("regexp_extract_all") == 1 and "Python" not in text
 
 

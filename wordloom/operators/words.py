@@ -23,12 +23,14 @@ def with_words(
     """Replace the text column by ``words``: tokens not stopped and, if given, in ``vocabulary``.
 
     Words keep their order and, unless ``distinct``, repeats; positions are
-    those of the filtered list.  Lists that fit into literals are applied inside the row, in the scan
-    stage.  Longer ones are joined, which shuffles the tokens.
+    those of the filtered list.  Lists that fit into literals are applied inside
+    the row, in the scan stage.  Longer ones are joined, which shuffles tokens.
     """
     stopwords, vocabulary = settled(stopwords), settled(vocabulary)
     kept = [c for c in records.columns if c != text]
     words = tokens(F.col(text), min_len=min_len, case_sensitive=case_sensitive)
+    if distinct:
+        words = F.array_distinct(words)
     out = records.select(*kept, words.alias("words"))
     stop = literal_words(stopwords)
     keep = None if vocabulary is None else literal_words(vocabulary)

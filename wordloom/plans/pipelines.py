@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from wordloom.operators.cooccurrence import pairs, stripes
 from wordloom.operators.counts import top_k, word_counts
 from wordloom.operators.relevance import document_frequency, tfidf
-from wordloom.sources.lists import WordList
+from wordloom.sources.lists import WordList, settled
 
 LAYOUTS = ("pairs", "stripes")
 
@@ -34,6 +34,7 @@ def cooccurrence(
     """Co-occurrence of the corpus's own ``k`` top words."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
+    stopwords = settled(stopwords)
     vocabulary = top_words(records, k, stopwords=stopwords).select("word")
     if layout == "pairs":
         return pairs(records, vocabulary, distance, stopwords=stopwords)
@@ -50,5 +51,6 @@ def top_term_scores(
     stopwords: WordList = None,
 ) -> DataFrame:
     """TF-IDF of the ``k`` stems that occur in most records."""
+    stopwords = settled(stopwords)
     terms = top_terms(records, k, stopwords=stopwords)
     return tfidf(records, terms, n_docs=n_docs, stopwords=stopwords)

@@ -43,10 +43,12 @@ def write_tsv(
 
     The files of the target, taken by name, are in order as a whole.
     ``columns`` picks what is written, e.g. less than the order needs.
-    ``single_file`` sorts and writes in one task: for small results only.
+    ``single_file`` sorts and writes the finished rows in one task: for small
+    results such as a top-k list or the matrix of a short vocabulary.
     """
     if single_file:
-        ordered = df.coalesce(1).sortWithinPartitions(*order) if order else df.coalesce(1)
+        # repartition, not coalesce: only the finished rows meet in one task
+        ordered = df.repartition(1).sortWithinPartitions(*order) if order else df.repartition(1)
     else:
         ordered = df.orderBy(*order) if order else df
     tsv_lines(ordered.select(columns or df.columns)).write.mode("errorifexists").text(path)
