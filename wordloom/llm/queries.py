@@ -14,6 +14,7 @@ from wordloom.llm.quality_classifier import op3_quality
 from wordloom.llm.quality_rules import op7_quality_rules
 from wordloom.llm.sharding import op4_sharding
 from wordloom.llm.simhash import op8_simhash
+from wordloom.llm.suffix_dedup import op9_suffix_dedup
 from wordloom.llm.toxicity import op1_toxicity
 
 
@@ -29,6 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op6_chat,
             op7_quality_rules,
             op8_simhash,
+            op9_suffix_dedup,
             op10_decontamination,
         )
     }
