@@ -165,4 +165,4 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"
     )
-    return read_back(formatted(turns.unionByName(attack(spark)), path), path)
+    return read_back(formatted(turns.unionByName(attack(spark)), path), path).drop("n_ids")

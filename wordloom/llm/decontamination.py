@@ -10,7 +10,6 @@ searched side by side.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -18,13 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from wordloom.llm.common import table, texts
+from wordloom.llm.common import table, text_of, texts
 
 WINDOW = 10
 #: Benchmark text that one search holds; a larger benchmark is searched in blocks of this size.
 BLOCK_BYTES = 8_000_000
-FOUND = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, hits array<long>, items array<string>"
 
 _WORD = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
 #: Lower-cases A-Z and blanks whatever is no word byte.
@@ -111,17 +110,10 @@ def intervals(marks: np.ndarray) -> list[int]:
     return edge.tolist()
 
 
-def digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-
-
-def searched(docs: DataFrame, items: list[tuple[str, bytes]], window: int) -> DataFrame:
-    """Search every text for the windows of ``items``."""
-    held = docs.sparkSession.sparkContext.broadcast(items)
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    fields = docs.sparkSession.createDataFrame([], FOUND).schema
-    out = to_arrow_schema(fields)
+def searched(rows: DataFrame, items: list[tuple[str, bytes]], window: int) -> DataFrame:
+    """Search every text for the windows of ``items`` and add what is found to ``hits`` and ``items``."""
+    held = rows.sparkSession.sparkContext.broadcast(items)
+    out = to_arrow_schema(rows.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owners = defaultdict(set)
@@ -130,106 +122,84 @@ def searched(docs: DataFrame, items: list[tuple[str, bytes]], window: int) -> Da
                 owners[w].add(name)
         search = machines(list(owners))
         for batch in batches:
-            rows, keys = [], batch.column("doc_id").to_pylist()
+            if not batch.num_rows:
+                continue
             split = [words(raw) for raw in texts(batch)]
             joined = [b" " + b" ".join(x) + b" " for x in split]
             begin = np.cumsum([0] + [len(x) + 1 for x in joined])
             whole = b"\n".join(joined)
             by_doc = defaultdict(list)
             for machine in search:
-                hits = list(machine.search(whole))
-                where = np.searchsorted(begin, [s for s, _ in hits], "right") - 1
-                for doc, (s, p) in zip(where.tolist(), hits, strict=True):
-                    by_doc[doc].append((s - int(begin[doc]), p))
-            for n, (key, parts) in enumerate(zip(keys, split, strict=True)):
-                hit, names = np.zeros(0, bool), set()
-                if n in by_doc:
-                    spaces = np.cumsum(np.frombuffer(joined[n], np.uint8) == 32)
-                    edge = np.zeros(len(parts) + 1, np.int64)
-                    for s, p in by_doc[n]:
-                        first = int(spaces[s]) - 1
-                        edge[first] += 1
-                        edge[first + p.count(b" ") - 1] -= 1
-                        names |= owners[p]
-                    hit = np.cumsum(edge[:-1]) > 0
-                rows.append((key, len(parts), int(hit.sum()), len(names), digest(list(names)), intervals(hit), sorted(names)))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), out)], schema=out)
-
-    return docs.mapInArrow(run, fields)
-
-
-def union_hits(flat: list[list[int]]) -> list[int]:
-    out: list[int] = []
-    for a, b in sorted((x[i], x[i + 1]) for x in flat for i in range(0, len(x), 2)):
-        if out and a <= out[-1]:
-            out[-1] = max(out[-1], b)
-        else:
-            out += [a, b]
-    return out
+                for s, p in machine.search(whole):
+                    by_doc[int(np.searchsorted(begin, s, "right")) - 1].append((s, p))
+            hits, names = batch.column("hits").to_pylist(), batch.column("items").to_pylist()
+            for n, occurrences in by_doc.items():
+                spaces = np.cumsum(np.frombuffer(joined[n], np.uint8) == 32)
+                edge = np.zeros(len(split[n]) + 1, np.int64)
+                found = set(names[n])
+                for s, p in occurrences:
+                    first = int(spaces[s - begin[n]]) - 1
+                    edge[first] += 1
+                    edge[first + p.count(b" ") - 1] -= 1
+                    found |= owners[p]
+                for a, b in zip(hits[n][::2], hits[n][1::2]):
+                    edge[a] += 1
+                    edge[b] -= 1
+                hits[n], names[n] = intervals(np.cumsum(edge[:-1]) > 0), sorted(found)
+            columns = [batch.column("row"), batch.column("text"), [len(x) for x in split], hits, names]
+            yield pa.RecordBatch.from_arrays(
+                [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, out)], schema=out
+            )
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
     *,
-    key: str = "doc_id",
     text: str = "text",
     item: str = "item_id",
     item_text: str = "text",
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """For each document its words, the words hit, and the items whose windows occur.
+    """``row``, the document as a struct, its words, the words hit as flat starts and ends, and the items that occur.
 
-    The benchmark's size is measured; what a task holds is at most about
-    ``block_bytes`` of it, and a larger benchmark is searched block by block,
-    the blocks' hits being united per row.  Null or empty texts have no words;
-    null items and items without words never occur; rows with the same item_id
-    are one item with the windows of all of them; repeated documents stay.
+    The benchmark's size is measured; a task holds about ``block_bytes`` of it
+    at most, and a larger benchmark is searched block by block, one after the
+    other over the same rows.  Null or empty texts have no words; null items and
+    items without words never occur; rows with the same item_id are one item
+    with the windows of all; repeated documents stay.  Nothing is shuffled.
     """
-    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
     listed = benchmark.select(benchmark[item].cast("string").alias("item"), benchmark[item_text].cast("string").alias("text"))
     listed = listed.where("item is not null and text is not null")
     size = listed.agg(F.sum(F.octet_length("text") + F.octet_length("item") + 16)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     part = listed.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
-
-    def items(n: int) -> list[tuple[str, bytes]]:
-        return sorted((r.item, r.text.encode()) for r in part.where(F.col("part") == n).collect())
-
-    if blocks == 1:
-        return searched(rows, items(0), window)
-    numbered = rows.withColumn("__row", F.monotonically_increasing_id())
-    found = None
-    for n in range(blocks):
-        # the row number stands in for the key while blocks are united
-        one = searched(numbered.select(F.col("__row").alias("doc_id"), "text"), items(n), window)
-        found = one if found is None else found.unionByName(one)
-    unite = F.udf(union_hits, "array<long>")
-    name = F.udf(digest, "string")
-    merged = found.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"),
-        F.collect_list("hits").alias("all_hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
-    merged = merged.withColumn("hits", unite("all_hits"))
-    ends = F.aggregate(
-        F.transform("hits", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), F.lit(0).cast("long"), lambda a, x: a + x
-    )
-    keys = numbered.select("__row", F.col("doc_id").alias("__key"))
-    return merged.join(keys, F.col("doc_id") == F.col("__row")).select(
-        F.col("__key").alias("doc_id"),
-        "n_words",
-        ends.alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
-        name("items").alias("items_sha256"),
-        "hits",
-        "items",
+    found = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        text_of(docs, text).alias("text"),
+        F.lit(0).cast("long").alias("n_words"),
+        F.expr("cast(array() as array<long>)").alias("hits"),
+        F.expr("cast(array() as array<string>)").alias("items"),
     )
+    for n in range(blocks):
+        held = [(r.item, r.text.encode()) for r in part.where(F.col("part") == n).collect()]
+        found = searched(found, sorted(held), window)
+    return found.drop("text")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item."""
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    signed = F.transform("hits", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x))
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        F.aggregate(signed, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )

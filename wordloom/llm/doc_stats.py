@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from wordloom.llm.common import arrow, texts
+from wordloom.llm.common import text_of, texts
 
 COUNTS = (
     "n_words",
@@ -83,12 +86,26 @@ def counts(raw: bytes) -> tuple[int, ...]:
     )
 
 
-def doc_stats(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and the counts of each whole text; a null text is empty, repeated rows stay."""
+def doc_stats(docs: DataFrame, *, text: str = "text") -> DataFrame:
+    """``row``, the document as a struct, and the counts of its whole text.
 
-    def make(batch: pa.RecordBatch) -> dict:
-        found = [counts(raw) for raw in texts(batch)]
-        return {"doc_id": batch.column("doc_id")} | dict(zip(COUNTS, zip(*found)))
+    A null text is empty, repeated rows stay, and columns of any name fit into the struct.
+    """
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), text_of(docs, text).alias("text"))
 
-    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    return arrow(rows, make, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = zip(*(counts(raw) for raw in texts(batch)))
+                columns = [batch.column("row"), *(pa.array(c, pa.int64()) for c in found)]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", *COUNTS])
+
+    schema = StructType([rows.schema["row"], *(StructField(c, LongType()) for c in COUNTS)])
+    return rows.mapInArrow(run, schema)
+
+
+def doc_counts(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id`` and the counts."""
+    return doc_stats(docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text")), text="text").select(
+        "row.doc_id", *COUNTS
+    )

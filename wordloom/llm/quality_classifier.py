@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm.common import label_remainder, stored, table
-from wordloom.llm.doc_stats import COUNTS, doc_stats
+from wordloom.llm.doc_stats import COUNTS, doc_counts
 
 FEATURES = 200
 SEED = 11
@@ -171,7 +171,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learn_from: Column, *, ke
     and empty texts are scored by their zero counts; repeated rows are scored
     alike; without labels every score is 0.5.
     """
-    stats = stored(doc_stats(docs, key=key, text=text))
+    stats = stored(doc_counts(docs, key=key, text=text))
     known = labels.where(learn_from & F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).select(
         "doc_id",
         F.col("quality").cast("int").alias("__label"),

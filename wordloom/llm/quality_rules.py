@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import stored, table
+from wordloom.llm.common import table
 from wordloom.llm.doc_stats import COUNTS, doc_stats
 
 #: Labelled rows that the list is fitted on, at most, taken in hash order of their ids.
@@ -154,43 +154,49 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
 
 
-def fit(stats: DataFrame, labels: DataFrame, *, label: str = "quality", rows: int = SAMPLE_ROWS) -> DecisionList:
-    """Learn from the statistics of at most ``rows`` labelled documents that pass the base rule.
+def fit(
+    docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = SAMPLE_ROWS
+) -> DecisionList:
+    """Learn from at most ``rows`` labelled documents that pass the base rule.
 
-    The sample is the first by hash of doc_id: the same rows whatever the
-    partitioning.  Null labels and unlabelled rows are no examples.
+    The labels taken are the first by hash of doc_id, the same whatever the
+    partitioning; their ids, 8 bytes each, are broadcast to the texts.  Null
+    labels and unlabelled documents are no examples.
     """
-    known = labels.select("doc_id", F.col(label).cast("int").alias("__label")).where("__label is not null and doc_id is not null")
+    known = (
+        labels.select(F.col("doc_id").alias("__id"), F.col(label).cast("int").alias("__label"))
+        .where("__label is not null and __id is not null")
+        .orderBy(F.xxhash64("__id"), "__id", "__label")
+        .limit(rows)
+    )
+    taught = docs.select(docs[key].alias("__id"), docs[text].alias("text")).join(F.broadcast(known), "__id")
     sample = (
-        stats.where(~base_failed())
-        .join(known, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS, "__label")
+        doc_stats(taught)
+        .where(~base_failed())
+        .select("row.__id", "row.__label", *COUNTS)
+        .orderBy(F.xxhash64("__id"), "__id", "__label", *COUNTS)
         .limit(rows)
-        .select(*[ratio(r).alias(r) for r in RATIOS], "__label", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) < 2).alias("__grows"))
+        .select(*[ratio(r).alias(r) for r in RATIOS], "__label", (F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(3)) < 2).alias("__grows"))
         .toPandas()
     )
     x = {r: sample[r].to_numpy(float) for r in RATIOS}
     return learn(x, sample["__label"].to_numpy() == 0, sample["__grows"].to_numpy(bool))
 
 
-def judged(stats: DataFrame, rules: DecisionList) -> DataFrame:
-    """Add ``base_failed``, ``kept`` and the number of the rule that rejected.
+def judged(docs: DataFrame, rules: DecisionList, *, text: str = "text") -> DataFrame:
+    """``row``, the document as a struct, its counts, ``base_failed``, the ``rule`` that rejects it, and ``kept``.
 
-    Texts without words fail the base rule; repeated rows are judged alike.
+    Texts without words, null ones too, fail the base rule; repeated rows are
+    judged alike.  Nothing is shuffled.
     """
-    out = stats.withColumn("base_failed", base_failed()).withColumn("rule", rules.number())
+    out = doc_stats(docs, text=text).withColumn("base_failed", base_failed()).withColumn("rule", rules.number())
     return out.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Statistics and verdict of each document, by a list learned from the labels."""
-    stats = stored(doc_stats(docs, key=key, text=text))
-    return judged(stats, fit(stats, labels))
-
-
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
-    found = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = judged(docs, fit(docs, table(spark, sf_dir, "labels")))
     return found.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
     )

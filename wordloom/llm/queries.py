@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from wordloom.llm.chat import op6_chat
 from wordloom.llm.decontamination import op10_decontamination
 from wordloom.llm.licenses import op2_licenses
@@ -33,7 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_suffix_dedup,
             op10_decontamination,
         )
-    }
+    } | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
