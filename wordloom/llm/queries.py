@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from wordloom.llm import oracle
 from wordloom.llm.chat import op6_chat
 from wordloom.llm.decontamination import op10_decontamination
 from wordloom.llm.licenses import op2_licenses
@@ -38,4 +39,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_chat": oracle.CHAT,
+        "op9_suffix_dedup": oracle.REPEATS,
+        "op10_decontamination": oracle.LEAKS,
+    }
