@@ -12,6 +12,8 @@ STOPWORDS = ("and", "are", "das", "der", "des", "die", "for", "les", "que", "tha
 TOP_WORDS = 50
 TOP_TERMS = 100
 MANY_WORDS = 20_000
+#: The vocabulary of rare words: these ranks by frequency.
+RARE_RANKS = (400, 900)
 N_DOCS = 10_000
 MAX_LINE = 120
 
@@ -187,7 +189,7 @@ ended AS (SELECT l.doc_id, l.line_no, l.text,
                  strlen(l.text) + CASE WHEN l.line_no < max(l.line_no) OVER (PARTITION BY l.doc_id)
                                          OR suffix(d.text, chr(10)) THEN 1 ELSE 0 END AS size
           FROM lines l JOIN documents d USING (doc_id))
-SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - 1)::INT AS line_no, text
+SELECT doc_id, line_no::INT AS line_no, text
 FROM ended WHERE size < {MAX_LINE}""",
         "docs_max_len": f"""WITH {LINES},
 ended AS (SELECT l.doc_id, l.line_no, l.text,
@@ -195,13 +197,14 @@ ended AS (SELECT l.doc_id, l.line_no, l.text,
                                          OR suffix(d.text, chr(10)) THEN 1 ELSE 0 END AS size
           FROM lines l JOIN documents d USING (doc_id))
 SELECT d.doc_id, coalesce(t.text, '') AS text FROM documents d LEFT JOIN (
-  SELECT doc_id, string_agg(text, chr(10) ORDER BY line_no) AS text FROM ended WHERE size < {MAX_LINE}
-  GROUP BY doc_id) t USING (doc_id)""",
+  SELECT doc_id, string_agg(text || CASE WHEN size > strlen(text) THEN chr(10) ELSE '' END, '' ORDER BY line_no) AS text
+  FROM ended WHERE size < {MAX_LINE} GROUP BY doc_id) t USING (doc_id)""",
         "word_list_trimmed": f"""WITH {LINES},
 words AS (SELECT DISTINCT lower(regexp_replace(text, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')) AS word FROM lines)
 SELECT word FROM words WHERE word <> ''""",
         "word_list_raw": f"WITH {LINES} SELECT DISTINCT text AS word FROM lines",
-        "df_table": """WITH made AS (
+        "df_table": f"WITH {_df()} SELECT term, df FROM df",
+        "df_lines": """WITH made AS (
   SELECT doc_id, regexp_extract(text, '\\w*') AS term,
          CASE WHEN lang = 'en' THEN n_chars::VARCHAR ELSE n_chars || '.0' END AS number
   FROM documents),
@@ -258,6 +261,30 @@ SELECT DISTINCT seq.word, coalesce(stripe, '{{}}') AS stripe FROM seq LEFT JOIN
 SELECT doc_id, line_no::INT AS line_no, term, round(score, 4) AS score FROM scored""",
         "tfidf_text": f"""WITH {_scored()}
 SELECT doc_id || chr(9) || term || chr(9) || printf('%.4f', score) AS line FROM scored""",
+        "tokens_long_stop": f"""WITH {_tok(stop=False)},
+often AS (SELECT word FROM tok GROUP BY word ORDER BY count(*) DESC, word DESC LIMIT {MANY_WORDS})
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS pos, word FROM tok ANTI JOIN often USING (word)""",
+        "top_sequence_long": f"""WITH {_tok()}, {TOP.replace(f'LIMIT {TOP_WORDS}', f'LIMIT {MANY_WORDS}')}, {SEQ}
+SELECT d.doc_id, count(s.word) AS n, coalesce(string_agg(s.word, ' ' ORDER BY s.pos), '') AS words
+FROM documents d LEFT JOIN seq s USING (doc_id) GROUP BY d.doc_id""",
+        "tfidf_all_terms": f"""WITH {_df()}, tf AS (
+  SELECT doc_id, stem AS term, count(*) AS tf FROM tok JOIN stems USING (word) WHERE stem <> '' GROUP BY doc_id, stem)
+SELECT doc_id, term, round(tf * ln({N_DOCS}.0::DOUBLE / df + 1), 4) AS score FROM tf JOIN df USING (term)""",
+        "tfidf_repeated_terms": f"WITH {_scored()} SELECT doc_id, term, round(score, 4) AS score FROM scored",
+        "stripes_parts_d1": pairs["pairs_d1"],
+        "stripes_sweep": f"""WITH {_matrix(4)},
+cells AS (SELECT d, l, r, count(*) AS n FROM near JOIN (SELECT unnest([1, 2, 3, 4])::BIGINT AS d) ON lag <= d GROUP BY d, l, r)
+SELECT d, l AS word, '{{' || {_CELL} || '}}' AS stripe FROM cells GROUP BY d, l""",
+        "stripes_rare_isolated_d1": f"""WITH {_tok('line')}, ranked AS (
+  SELECT word, row_number() OVER (ORDER BY count(*) DESC, word DESC) AS rank FROM tok GROUP BY word
+), top AS (SELECT word FROM ranked WHERE rank > {RARE_RANKS[0]} AND rank <= {RARE_RANKS[1]}), {SEQ}, {_near(1)},
+cells AS (SELECT l, r, count(*) AS n FROM near GROUP BY l, r),
+striped AS (SELECT l AS word, '{{' || {_CELL} || '}}' AS stripe FROM cells GROUP BY l)
+SELECT DISTINCT seq.word, coalesce(stripe, '{{}}') AS stripe FROM seq LEFT JOIN striped USING (word)""",
+        "pairs_by_record_d500": f"WITH {_tok()}, {TOP}, {SEQ}, near AS (SELECT a.doc_id, a.word AS l, b.word AS r "
+        "FROM seq a JOIN seq b ON a.doc_id = b.doc_id AND a.pos <> b.pos AND abs(a.pos - b.pos) <= 500) "
+        "SELECT doc_id, l, r, count(*) AS n FROM near GROUP BY doc_id, l, r",
+        "cooccurrence_plan": pairs["pairs_d2"],
         "result_counts": f"""WITH {_matrix(1)}, {STEMS}, {DF}, {TOP_DF}, {TF}
 SELECT 'word_count' AS result, count(DISTINCT word) AS n_rows FROM tok
 UNION ALL SELECT 'pairs', count(*) FROM (SELECT DISTINCT l, r FROM near)

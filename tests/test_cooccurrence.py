@@ -142,16 +142,46 @@ def test_stripe_neighbours_are_in_order(docs, vocabulary):
         assert all(r["keys"] == sorted(r["keys"]) for r in keys)
 
 
-def test_stripes_need_a_bounded_vocabulary(docs, spark, monkeypatch):
-    from wordloom.operators import cooccurrence
-
-    with pytest.raises(ValueError):
-        op.stripes(docs, None, 1)
-    monkeypatch.setattr(lists, "LITERAL_LIMIT", 2)
-    monkeypatch.setattr(cooccurrence, "MAX_STRIPE", 3)
-    assert op.stripes(docs, ["cat", "the", "for"], 1).count() > 0
+def test_stripes_in_parts(docs, vocabulary):
+    want = op.stripes(docs, vocabulary, 2, keep_isolated=True)
+    cut = op.stripes(docs, vocabulary, 2, keep_isolated=True, parts=3)
+    assert cut.columns == ["part", "word", "stripe"] and cut.select("part").distinct().count() == 3
+    assert cells(op.stripes_to_pairs(cut)) == cells(op.pairs(docs, vocabulary, 2))
+    def exact(df):
+        return sorted((r.word, sorted(r.stripe.items())) for r in df.collect())
+    assert exact(op.merge_stripes(cut)) == exact(want)
+    again = op.merge_stripes(cut, parts=3)
+    assert sorted(map(str, again.collect())) == sorted(map(str, cut.collect()))
+    assert cells(op.stripes_to_pairs(op.stripes(docs, None, 1, parts=5))) == cells(op.pairs(docs, None, 1))
     with pytest.raises(ValueError):
-        op.stripes(docs, ["cat", "the", "for", "and"], 1)
+        op.stripes(docs, vocabulary, 1, parts=0)
+
+
+def test_stripes_sweep(docs, vocabulary):
+    swept = op.stripes_sweep(docs, vocabulary, 3)
+    for d in (1, 2, 3):
+        one = swept.where(F.col("d") == d).select("word", "stripe")
+        assert cells(op.stripes_to_pairs(one)) == cells(op.pairs(docs, vocabulary, d))
+
+
+def test_sweep_plan_does_not_grow(docs, vocabulary):
+    def size(d):
+        return len(op.pairs_sweep(docs, vocabulary, d)._jdf.queryExecution().optimizedPlan().toString())
+    assert abs(size(4) - size(400)) < 50
+    assert op.pairs_sweep(docs, vocabulary, 10**6).where("d = 3").count() == op.pairs(docs, vocabulary, 3).count()
+
+
+def test_long_record_and_large_distance(spark):
+    """Two words in turns, 3,000 of them, at a distance as large: counts, not pairs, are kept."""
+    docs = spark.createDataFrame([(1, "hot cold " * 1500), (2, "hot"), (3, "cold hot")], "doc_id long, text string")
+    rows = {(r.doc_id, r.l, r.r): r.n for r in op.pairs_by_record(docs, None, 3000).collect()}
+    assert rows == {
+        (1, "hot", "hot"): 1500 * 1499, (1, "cold", "cold"): 1500 * 1499,
+        (1, "hot", "cold"): 1500 * 1500, (1, "cold", "hot"): 1500 * 1500,
+        (3, "hot", "cold"): 1, (3, "cold", "hot"): 1,
+    }
+    striped = {(r.doc_id, r.word): r.stripe for r in op.stripes_by_record(docs, None, 3000).collect()}
+    assert striped[2, "hot"] == {} and striped[1, "hot"] == {"cold": 1500 * 1500, "hot": 1500 * 1499}
 
 
 def test_long_vocabulary_gives_the_same_matrix(docs, spark, vocabulary, monkeypatch):

@@ -28,7 +28,7 @@ def corpus_dir(tmp_path):
 
 def run(spark, folder, job, out, *options):
     args = [job, str(folder / "in"), str(folder / out), *options]
-    jobs.run(spark, jobs.parser().parse_args(args))
+    jobs.run(spark, jobs.checked(jobs.parser().parse_args(args)))
     lines = []
     for name in sorted(glob(f"{folder}/{out}/part-*")):
         with open(name, encoding="utf-8", newline="\n") as f:
@@ -94,6 +94,41 @@ def test_parquet_corpus(spark, corpus_dir):
         "document-frequency", str(corpus_dir / "table"), str(corpus_dir / "out"), "--format", "parquet",
         "--key", "id", "--text", "body", "--grain", "line",
     ]
-    jobs.run(spark, jobs.parser().parse_args(args))
+    jobs.run(spark, jobs.checked(jobs.parser().parse_args(args)))
     text = "".join(open(f, encoding="utf-8").read() for f in glob(f"{corpus_dir}/out/part-*"))
     assert "moon\t4\n" in text
+
+
+@pytest.mark.parametrize("options", [
+    ["cooccurrence", "in", "out", "--keep-isolated"],
+    ["cooccurrence", "in", "out", "-k", "3", "--vocabulary", "v"],
+    ["cooccurrence", "in", "out", "--by-record", "--single-file"],
+    ["cooccurrence", "in", "out", "--max-distance", "3", "-d", "2"],
+    ["cooccurrence", "in", "out", "--parts", "2"],
+    ["tfidf", "in", "out", "-k", "3", "--df", "f"],
+    ["tfidf", "in", "out", "--single-file"],
+    ["top-words", "in", "out", "--single-file"],
+    ["top-words", "in", "out", "--raw-stopwords"],
+    ["top-words", "in", "out", "--head", "3"],
+    ["top-words", "in", "--head", "3", "--count"],
+    ["top-words", "in"],
+])
+def test_options_without_effect_are_refused(options):
+    with pytest.raises(SystemExit) as error:
+        jobs.checked(jobs.parser().parse_args(options))
+    assert options[0] in str(error.value)
+
+
+def test_preview_count_and_sweep(spark, corpus_dir, capsys):
+    corpus = str(corpus_dir / "in")
+    jobs.run(spark, jobs.checked(jobs.parser().parse_args(["top-words", corpus, "--head", "2", "-k", "5"])))
+    jobs.run(spark, jobs.checked(jobs.parser().parse_args(["top-words", corpus, "--count"])))
+    first, second, count = capsys.readouterr().out.split("\n")[:3]
+    assert first == "moon\t5" and second.endswith("\t3") and int(count) > 5
+    swept = run(spark, corpus_dir, "cooccurrence", "sweep", "-k", "3", "--max-distance", "2")
+    one = run(spark, corpus_dir, "cooccurrence", "one", "-k", "3", "-d", "1")
+    assert [x[2:] for x in swept if x.startswith("1\t")] == one
+    striped = run(spark, corpus_dir, "cooccurrence", "ss", "-k", "3", "--max-distance", "2", "--layout", "stripes")
+    assert [x[2:] for x in striped if x.startswith("2\t")] == run(
+        spark, corpus_dir, "cooccurrence", "s2", "-k", "3", "-d", "2", "--layout", "stripes"
+    )

@@ -48,6 +48,8 @@ def test_length_and_stop_tests_precede_stemming(corpus):
 def test_term_frequency_and_scores(docs, spark):
     top = [(r.term, r.df) for r in plans.top_terms(docs, 30, stopwords=STOP).collect()]
     known = dict(top)
+    # repeated terms: the largest df counts
+    top += [(t, df - 1) for t, df in top[:10]] + [(None, 3), ("zzz", None)]
     want = {}
     for r in docs.collect():
         for t, n in Counter(plain.stem(w) for w in plain.tokens(r.text, STOP)).items():
@@ -66,13 +68,17 @@ def test_term_frequency_and_scores(docs, spark):
 
 def test_long_df_table_gives_the_same(docs, spark, monkeypatch):
     top = [(r.term, r.df) for r in plans.top_terms(docs, 30, stopwords=STOP).collect()]
+    # repeated terms: the largest df counts
+    top += [(t, df - 1) for t, df in top[:10]] + [(None, 3), ("zzz", None)]
     frame = table(spark, top)
     want = sorted(map(tuple, op.tfidf(docs, frame, stopwords=STOP).collect()))
-    want_tf = sorted(map(tuple, op.term_frequency(docs, frame, stopwords=STOP).select("doc_id", "term", "tf").collect()))
+    want_tf = sorted(map(tuple, op.term_frequency(docs, frame, stopwords=STOP).collect()))
     monkeypatch.setattr(relevance, "LITERAL_LIMIT", 5)
     got_tf = op.term_frequency(docs, frame, stopwords=STOP)
-    assert sorted(map(tuple, got_tf.select("doc_id", "term", "tf").collect())) == want_tf
-    got = op.tfidf(docs, frame, stopwords=STOP).select("doc_id", "term", "score")
+    assert sorted(map(tuple, got_tf.collect())) == want_tf
+    assert got_tf.columns == ["doc_id", "term", "tf"]
+    got = op.tfidf(docs, frame, stopwords=STOP)
+    assert got.columns == ["doc_id", "term", "score"]
     assert sorted(map(tuple, got.collect())) == want
 
 

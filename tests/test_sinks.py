@@ -54,3 +54,8 @@ def test_text_forms(spark):
     scores = spark.createDataFrame([("7", "time", 1.71785), ("7", "x", 2.0)], "doc_id string, term string, score double")
     text = [r.value for r in sinks.tsv_lines(sinks.score_text(scores)).collect()]
     assert text == ["7\ttime\t1.7179", "7\tx\t2.0000"]
+
+
+def test_nulls_are_empty_fields(spark):
+    df = spark.createDataFrame([(None, "a", 1.0), ("k", None, None)], "id string, term string, score double")
+    assert sorted(r.line for r in sinks.tsv_lines(df, "line").collect()) == ["\ta\t1.0", "k\t\t"]

@@ -56,13 +56,29 @@ def test_table_lines_keep_order_and_terminators_end_lines(corpus):
 def test_max_line_counts_bytes_and_terminators(corpus, spark, tmp_path):
     # sizes: 4 (with \n), 5 (with \r\n), 4 (two-byte letter and \n), 3 (unterminated)
     docs = corpus("abc\nabc\r\né1\nabc")
-    assert rows(sources.lines(docs, max_line=5), "line_no", "text") == [(0, "abc"), (1, "é1"), (2, "abc")]
+    assert rows(sources.lines(docs, max_line=5), "line_no", "text") == [(0, "abc"), (2, "é1"), (3, "abc")]
     assert rows(sources.lines(docs, max_line=4), "text") == [("abc",)]
     assert rows(sources.lines(docs, max_line=100), "text") == rows(sources.lines(docs), "text")
     assert sources.records(docs, max_line=5).first().text == "abc\né1\nabc"
     write(tmp_path / "f.txt", "abc\nabcd\n")
     assert rows(sources.read_text(spark, str(tmp_path), "line", max_line=5), "text") == [("abc",)]
-    assert rows(sources.read_text(spark, str(tmp_path), max_line=5), "text") == [("abc",)]
+    assert rows(sources.read_text(spark, str(tmp_path), max_line=5), "text") == [("abc\n",)]
+
+
+@pytest.mark.parametrize("text", ["abc\nabcd", "abc\nabcd\n", "abcd\r\nabc\r\n\r\nab", "ab\rabcd\rabc", "abcd", "\n\nabcd\n"])
+@pytest.mark.parametrize("limit", [4, 5, 6])
+def test_max_line_means_the_same_in_files_and_tables(corpus, spark, tmp_path, text, limit):
+    write(tmp_path / "1.txt", text)
+    for grain, columns in (("line", ("line_no", "text")), ("doc", ("text",))):
+        got = rows(sources.read_text(spark, str(tmp_path), grain, max_line=limit), *columns)
+        assert got == rows(sources.records(corpus(text), grain, max_line=limit), *columns)
+    numbered = dict(rows(sources.lines(corpus(text)), "line_no", "text"))
+    assert all(numbered[n] == t for n, t in rows(sources.lines(corpus(text), max_line=limit), "line_no", "text"))
+
+
+def test_the_last_line_without_terminator_has_none_to_count(spark, tmp_path):
+    write(tmp_path / "f.txt", "abc\nabcd")
+    assert rows(sources.read_text(spark, str(tmp_path), "line", max_line=5), "text") == [("abc",), ("abcd",)]
 
 
 def test_grain_is_checked(docs, spark):
@@ -128,10 +144,3 @@ def test_literal_words(spark, monkeypatch):
     frame = spark.createDataFrame([(w,) for w in "abcab"], "x string")
     assert lists.literal_words(frame) == ["a", "b", "c"]
     assert lists.literal_words(frame.union(spark.createDataFrame([("d",)], "x string"))) is None
-
-
-def test_spread_leaves_wide_inputs_alone(spark):
-    narrow = spark.range(100, numPartitions=1)
-    assert sources.spread(narrow).rdd.getNumPartitions() == 16
-    wide = spark.range(100, numPartitions=8)
-    assert sources.spread(wide) is wide

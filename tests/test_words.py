@@ -13,7 +13,7 @@ STOP = ["the", "and", "der"]
 
 
 def words_of(df):
-    return {r.doc_id: list(r.words) for r in df.collect()}
+    return {r.doc_id: r.words and list(r.words) for r in df.collect()}
 
 
 def test_tokens(corpus):
@@ -41,10 +41,17 @@ def test_vocabulary_less_stopwords(corpus):
 def test_long_lists_give_the_same_words(corpus, docs, monkeypatch, limit):
     """Around the limit the stop list, the vocabulary or both are joined."""
     vocabulary, stop = ["and", "for", "that", "was"], ["and", "xyz"]
+    more = docs.sparkSession.createDataFrame([(900, "xyz and"), (901, ""), (902, None), (900, "xyz and")], "doc_id long, text string")
+    docs = docs.unionByName(more)
+    def exact(df):
+        return df.columns, sorted(map(str, df.collect()))
+    every = [dict(vocabulary=vocabulary, stopwords=stop), dict(vocabulary=vocabulary), dict(stopwords=stop)]
+    before = [exact(op.with_words(docs, **o)) for o in every]
     want = words_of(op.with_words(docs, vocabulary=vocabulary, stopwords=stop))
     monkeypatch.setattr(lists, "LITERAL_LIMIT", limit)
     got = words_of(op.with_words(docs, vocabulary=vocabulary, stopwords=stop))
-    assert got == {k: v for k, v in want.items() if v}
+    assert got == want and [] in got.values()
+    assert [exact(op.with_words(docs, **o)) for o in every] == before
 
 
 def test_long_stop_list_in_counts(docs, monkeypatch):
@@ -82,3 +89,27 @@ def test_runs(spark):
     )
     got = {r.id: r.c and [tuple(x) for x in r.c] for r in with_runs(df, "v", "c").collect()}
     assert got == {1: [("a", 1), ("b", 3)], 2: [], 3: [("x", 1)], 4: None}
+
+
+KEYS = ["n", "l", "r", "word", "words", "term", "tf", "df", "stripe", "score", "__key"]
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_key_columns_work_or_are_refused_by_name(docs, spark, key):
+    named = docs.withColumnRenamed("doc_id", key)
+    table = spark.createDataFrame([("the", 3), ("that", 2)], "term string, df long")
+    calls = [
+        lambda: op.with_words(named),
+        lambda: op.pairs_by_record(named, ["the", "that"], 2),
+        lambda: op.stripes_by_record(named, ["the", "that"], 2),
+        lambda: op.term_frequency(named, table),
+        lambda: op.tfidf(named, table),
+    ]
+    for call in calls:
+        try:
+            df = call()
+        except ValueError as error:
+            assert repr(key) in str(error)
+        else:
+            assert key in df.columns and df.count() > 0
+    assert op.pairs(named, ["the", "that"], 2).count() > 0

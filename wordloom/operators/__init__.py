@@ -6,6 +6,7 @@ from wordloom.operators.cooccurrence import (
     roll_up,
     stripes,
     stripes_by_record,
+    stripes_sweep,
     stripes_to_pairs,
 )
 from wordloom.operators.counts import head, row_counts, top_k, word_counts
@@ -30,6 +31,7 @@ __all__ = [
     "stem_vocabulary",
     "stripes",
     "stripes_by_record",
+    "stripes_sweep",
     "stripes_to_pairs",
     "term_frequency",
     "tfidf",

@@ -10,16 +10,23 @@ whose rows are already summed per task, and mirrors the small result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
-from wordloom.functions.arrays import with_runs
-from wordloom.operators.words import with_words
-from wordloom.sources.lists import WordList, literal_words, settled, word_frame
-
-#: A stripe is one row, so its length must be bounded: by the vocabulary.
-MAX_STRIPE = 1_000_000
+from wordloom.functions.pairs import record_pairs
+from wordloom.operators.words import refuse, with_words
+from wordloom.sources.lists import WordList
 
+#: Rows, or cells of stripes, in one batch of a per-record matrix.
+ROWS_OUT = 100_000
 
 # Words zipped with the words ``lag`` positions on: fields `0` and `1`.  At lag 0
 # the second field is null.
@@ -56,13 +63,6 @@ def _half_pairs(words: DataFrame, distance: int, lone: bool = False) -> DataFram
     )
 
 
-def _near(words: DataFrame, distance: int, lone: bool) -> DataFrame:
-    """The pairs of all lags as one array per record, ``__near``."""
-    kept = [c for c in words.columns if c != "words"]
-    near = f"flatten(transform({_lags(distance, lone)}, lag -> {_ZIPPED}))"
-    return words.select(*kept, F.expr(near).alias("__near"))
-
-
 def _mirror(half: DataFrame) -> DataFrame:
     """Both triangles from one: ``(l, r, n)`` and ``(r, l, n)``, diagonal doubled."""
     kept = [c for c in half.columns if c not in ("l", "r", "n")]
@@ -103,22 +103,42 @@ def pairs_sweep(
     text: str = "text",
     min_len: int = 3,
 ) -> DataFrame:
-    """``(d, l, r, n)`` for every distance 1..max_distance from one pass over the corpus."""
+    """``(d, l, r, n)`` for every distance 1..max_distance from one pass over the corpus.
+
+    Pairs are counted by lag, and the counts accumulated over the distances in
+    the small matrix, so the plan is the same for every ``max_distance``.
+    """
     words = with_words(
         records.select(text), stopwords=stopwords, vocabulary=vocabulary, text=text, min_len=min_len
     )
-    distances = range(1, max(max_distance, 1) + 1)
-    upto = [F.expr(f"count_if(lag <= {d}) AS n{d}") for d in distances]
-    wide = _half_pairs(words, max_distance).groupBy("l", "r").agg(*upto)
-    per_d = ", ".join(f"struct({d}L AS d, n{d} AS n)" for d in distances)
-    half = (
-        wide.selectExpr("l", "r", f"explode_outer(array({per_d})) AS c")
-        .select("c.d", "l", "r", "c.n")
-        .where("n > 0")
+    by_lag = _half_pairs(words, max_distance).groupBy("l", "r", "lag").agg(F.count("*").alias("n"))
+    nearer = Window.partitionBy("l", "r").orderBy("lag")
+    # n holds from this lag's distance to the one before the pair's next lag
+    steps = by_lag.select(
+        "l",
+        "r",
+        F.col("lag").cast("long").alias("__from"),
+        (F.coalesce(F.lead("lag").over(nearer), F.lit(max(max_distance, 1) + 1)) - 1).cast("long").alias("__to"),
+        F.sum("n").over(nearer).alias("n"),
     )
+    half = steps.select(F.explode_outer(F.sequence("__from", "__to")).alias("d"), "l", "r", "n")
     return _mirror(half)
 
 
+def stripes_sweep(
+    records: DataFrame,
+    vocabulary: WordList,
+    max_distance: int = 4,
+    *,
+    stopwords: WordList = None,
+    text: str = "text",
+    min_len: int = 3,
+) -> DataFrame:
+    """``(d, word, stripe)`` for every distance 1..max_distance from one pass over the corpus."""
+    cells = pairs_sweep(records, vocabulary, max_distance, stopwords=stopwords, text=text, min_len=min_len)
+    return _striped(cells, "d")
+
+
 def pairs_by_record(
     records: DataFrame,
     vocabulary: WordList,
@@ -128,23 +148,54 @@ def pairs_by_record(
     text: str = "text",
     min_len: int = 3,
 ) -> DataFrame:
-    """``(<record columns>, l, r, n)``: the matrix of each record, without any shuffle."""
+    """``(<record columns>, l, r, n)``: the matrix of each record, without any shuffle.
+
+    Counted in the tasks that read the records, in memory that follows the
+    records' matrices, not words times distance (an array expression would hold all
+    pairs of a record at once).
+    """
+    refuse(records, text, "l", "r", "n")
     words = with_words(
         records, stopwords=stopwords, vocabulary=vocabulary, text=text, min_len=min_len
     )
-    return _by_record(words, distance)
+    kept = [c for c in words.columns if c != "words"]
+    schema = _with_fields(words, kept, "l string, r string, n long")
+    out = to_arrow_schema(schema)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, spelled, rec, l, r, n in _record_counts(batches, distance, False):
+            for at in range(0, len(rec), ROWS_OUT):
+                cut = slice(at, at + ROWS_OUT)
+                more = [spelled.take(pa.array(l[cut])), spelled.take(pa.array(r[cut])), pa.array(n[cut])]
+                yield _rows(batch, kept, rec[cut], more, out)
 
-def _by_record(words: DataFrame, distance: int) -> DataFrame:
-    kept = [c for c in words.columns if c != "words"]
-    half = F.expr(f"transform(__near, p -> struct({_LESSER} AS l, {_GREATER} AS r))")
-    near = _near(words, distance, lone=False).select(*kept, half.alias("__half"))
-    rows = (
-        with_runs(near, "__half", "__runs")
-        .select(*kept, F.explode_outer("__runs").alias("__c"))
-        .where("__c IS NOT NULL")
-    )
-    return _mirror(rows.select(*kept, "__c.value.l", "__c.value.r", "__c.n"))
+    return words.select(*kept, "words").mapInArrow(run, schema)
+
+
+def _record_counts(
+    batches: Iterator[pa.RecordBatch], distance: int, lone: bool
+) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each batch its words in order, and record, left word, right word and count of all pairs."""
+    for batch in batches:
+        lists = batch.column("words")
+        flat = lists.flatten().dictionary_encode()
+        if not len(flat):
+            continue
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        order = np.argsort(np.array(flat.dictionary.to_pylist(), dtype=object), kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        words = rank[flat.indices.to_numpy(zero_copy_only=False)]
+        yield batch, flat.dictionary.take(pa.array(order)), *record_pairs(words, sizes, len(order), distance, lone)
+
+
+def _rows(batch: pa.RecordBatch, kept: list[str], at: np.ndarray, more: list[pa.Array], out: pa.Schema) -> pa.RecordBatch:
+    columns = [*(batch.column(c).take(pa.array(at)) for c in kept), *more]
+    return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out, strict=True)], schema=out)
+
+
+def _with_fields(words: DataFrame, kept: list[str], fields: str) -> StructType:
+    return StructType([*(words.schema[c] for c in kept), *StructType.fromDDL(fields).fields])
 
 
 def roll_up(by_record: DataFrame) -> DataFrame:
@@ -159,6 +210,7 @@ def stripes(
     *,
     stopwords: WordList = None,
     keep_isolated: bool = False,
+    parts: int = 1,
     text: str = "text",
     min_len: int = 3,
 ) -> DataFrame:
@@ -166,12 +218,22 @@ def stripes(
 
     ``keep_isolated`` adds words of the vocabulary that occur but never have a
     neighbour, with an empty map.  They come out of the same pass.
+
+    A stripe is one row and as long as the vocabulary at most.  Where that is too
+    long, also for ``vocabulary=None``, ``parts`` above 1 cuts every stripe by
+    its neighbours' hash into rows ``(part, word, stripe)``, parts from 0; an empty map is in part 0.
     """
-    vocabulary = _bounded(records, vocabulary)
     words = with_words(
         records.select(text), stopwords=stopwords, vocabulary=vocabulary, text=text, min_len=min_len
     )
-    return _striped(_mirror(_summed(_half_pairs(words, distance, lone=keep_isolated))))
+    cells = _mirror(_summed(_half_pairs(words, distance, lone=keep_isolated)))
+    return _striped(cells) if parts == 1 else _striped(_in_parts(cells, parts), "part")
+
+
+def _in_parts(cells: DataFrame, parts: int) -> DataFrame:
+    if parts < 1:
+        raise ValueError("parts must be at least 1")
+    return cells.withColumn("part", F.when(F.col("r").isNull(), 0).otherwise(F.pmod(F.xxhash64("r"), F.lit(parts))).cast("int"))
 
 
 def stripes_by_record(
@@ -185,76 +247,55 @@ def stripes_by_record(
     min_len: int = 3,
 ) -> DataFrame:
     """``(<record columns>, word, stripe)``: the stripes of each record, without any shuffle."""
-    vocabulary = _bounded(records, vocabulary)
+    refuse(records, text, "word", "stripe", "l", "r", "n")
     words = with_words(
         records, stopwords=stopwords, vocabulary=vocabulary, text=text, min_len=min_len
     )
-    return _record_stripes(words, distance, keep_isolated)
-
-
-def _record_stripes(words: DataFrame, distance: int, lone: bool) -> DataFrame:
-    """Row-local: count the ordered pairs of a record, then cut the sorted runs into stripes."""
     kept = [c for c in words.columns if c != "words"]
-    both = F.expr(
-        "flatten(transform(__near, p -> CASE WHEN p.`1` IS NULL THEN array(struct(p.`0` AS l, p.`1` AS r)) "
-        "ELSE array(struct(p.`0` AS l, p.`1` AS r), struct(p.`1` AS l, p.`0` AS r)) END))"
-    )
-    near = _near(words, distance, lone).select(*kept, both.alias("__both"))
-    first = F.expr(
-        "filter(transform(__runs, (c, i) -> CASE WHEN i = 0 OR get(__runs, i - 1).value.l != c.value.l "
-        "THEN i END), i -> i IS NOT NULL)"
-    )
-    cut = F.expr(
-        "explode_outer(transform(__first, (at, j) -> struct(get(__runs, at).value.l AS word, "
-        "slice(__runs, at + 1, coalesce(get(__first, j + 1), size(__runs)) - at) AS run)))"
-    )
-    entries = F.expr(
-        "map_from_entries(transform(filter(__s.run, c -> c.value.r IS NOT NULL), "
-        "c -> struct(c.value.r AS r, c.n AS n)))"
-    )
-    return (
-        with_runs(near, "__both", "__runs")
-        .withColumn("__first", first)
-        .select(*kept, cut.alias("__s"))
-        .where("__s IS NOT NULL")
-        .select(*kept, "__s.word", entries.alias("stripe"))
-    )
-
-
-def merge_stripes(by_record: DataFrame) -> DataFrame:
-    """Sum per-record stripes; equals :func:`stripes` with the same isolated words.
+    schema = _with_fields(words, kept, "word string, stripe map<string,bigint>")
+    out = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, spelled, rec, l, r, n in _record_counts(batches, distance, keep_isolated):
+            starts = np.concatenate([[0], np.flatnonzero((np.diff(rec) != 0) | (np.diff(l) != 0)) + 1])
+            if not len(rec):
+                continue
+            # whole stripes, together of about ROWS_OUT cells
+            cuts = np.unique(np.searchsorted(starts, np.arange(0, len(rec), ROWS_OUT)))
+            for a, b in zip(cuts, [*cuts[1:], len(starts)]):
+                first = starts[a:b]
+                cells = slice(first[0], starts[b] if b < len(starts) else len(rec))
+                held = np.flatnonzero(r[cells] >= 0) + first[0]
+                offsets = np.searchsorted(held, [*first, cells.stop]).astype(np.int32)
+                maps = pa.MapArray.from_arrays(pa.array(offsets), spelled.take(pa.array(r[held])), pa.array(n[held]))
+                yield _rows(batch, kept, rec[first], [spelled.take(pa.array(l[first])), maps], out)
+
+    return words.select(*kept, "words").mapInArrow(run, schema)
+
+
+def merge_stripes(by_record: DataFrame, *, parts: int = 1) -> DataFrame:
+    """Sum per-record stripes, or stripes in parts; equals :func:`stripes` with the same isolated words.
 
     Entries are summed one by one, so a frequent word's stripes are never
     gathered in one place before they are small.
     """
     half = by_record.selectExpr("word AS l", "explode_outer(stripe) AS (r, n)")
-    return _striped(half.groupBy("l", "r").agg(F.sum("n").alias("n")))
+    cells = half.groupBy("l", "r").agg(F.sum("n").alias("n"))
+    return _striped(cells) if parts == 1 else _striped(_in_parts(cells, parts), "part")
 
 
-def _striped(matrix: DataFrame) -> DataFrame:
-    """Gather ``(l, r, n)`` rows by ``l``; a row with ``r`` null only keeps its word."""
+def _striped(matrix: DataFrame, *keys: str) -> DataFrame:
+    """Gather ``(l, r, n)`` rows by ``l`` and the keys; a row with ``r`` null only keeps its word."""
     entry = F.expr("CASE WHEN r IS NOT NULL THEN struct(r, n) END")
     return (
-        matrix.groupBy("l")
+        matrix.groupBy(*keys, "l")
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-        .select(F.col("l").alias("word"), F.map_from_entries("entries").alias("stripe"))
+        .select(*keys, F.col("l").alias("word"), F.map_from_entries("entries").alias("stripe"))
     )
 
 
 def stripes_to_pairs(striped: DataFrame) -> DataFrame:
-    """``(l, r, n)`` back from stripes."""
+    """``(l, r, n)`` back from stripes, whole or in parts."""
     return striped.select(
         F.col("word").alias("l"), F.explode_outer("stripe").alias("r", "n")
     ).where(F.col("r").isNotNull())
-
-
-def _bounded(records: DataFrame, vocabulary: WordList) -> WordList:
-    """The vocabulary, looked at once and short enough for a stripe to be one row."""
-    if vocabulary is None:
-        raise ValueError("stripes need a vocabulary; use pairs for every word")
-    vocabulary = settled(vocabulary)
-    if literal_words(vocabulary) is None:
-        size = word_frame(records.sparkSession, vocabulary).limit(MAX_STRIPE + 1).count()
-        if size > MAX_STRIPE:
-            raise ValueError(f"a stripe could exceed {MAX_STRIPE} entries; use pairs")
-    return vocabulary

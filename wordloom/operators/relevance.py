@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wordloom.functions.arrays import with_runs
 from wordloom.functions.porter import may_stem_to, stem_all, with_stem
 from wordloom.functions.tokens import only
-from wordloom.operators.words import exploded_words, with_words
+from wordloom.operators.words import exploded_words, refuse, with_words
 from wordloom.sources.lists import LITERAL_LIMIT, WordList
 
 
@@ -52,13 +52,20 @@ def document_frequency(
     )
 
 
+def _settled_table(df: DataFrame) -> DataFrame:
+    """One row per term; of repeated terms the largest df counts."""
+    known = df.where(F.col("term").isNotNull() & F.col("df").isNotNull())
+    return known.groupBy("term").agg(F.max("df").cast("long").alias("df"))
+
+
 def _small_df_table(df: DataFrame) -> dict[str, int] | None:
-    rows = df.select("term", "df").limit(LITERAL_LIMIT + 1).collect()
+    rows = df.limit(LITERAL_LIMIT + 1).collect()
     return None if len(rows) > LITERAL_LIMIT else {r["term"]: r["df"] for r in rows}
 
 
 def _known(records: DataFrame, df: DataFrame) -> tuple[list[str] | None, DataFrame]:
     """Terms as literals and the table as local rows if few, else None and the table itself."""
+    df = _settled_table(df)
     table = _small_df_table(df)
     if table is None:
         return None, df
@@ -76,6 +83,7 @@ def _term_runs(
     revision: str,
 ) -> DataFrame:
     """``(<record columns>, term, tf)`` counted inside each row, one row per record and term."""
+    refuse(records, text, "term", "tf", "df", "score")
     words = with_words(records, stopwords=stopwords, text=text, min_len=min_len)
     kept = [c for c in words.columns if c != "words"]
     if terms is not None:
@@ -104,7 +112,9 @@ def term_frequency(
     """``(<record columns>, term, tf)`` for the terms of ``df``, one row per record and term."""
     terms, table = _known(records, df)
     tf = _term_runs(records, terms, stopwords, text, min_len, revision)
-    return tf if terms is not None else tf.join(table.select("term"), "term", "left_semi")
+    if terms is None:
+        tf = tf.join(table.select("term"), "term", "left_semi").select(*tf.columns)
+    return tf
 
 
 def tfidf(
@@ -119,8 +129,8 @@ def tfidf(
 ) -> DataFrame:
     """``(<record columns>, term, score)`` with ``score = tf * ln(n_docs / df + 1)``.
 
-    Only terms of the table ``df(term, df)`` are scored.  ``n_docs=None`` counts
-    the records.  With a table small enough for literals (checked) there is no
+    Only terms of the table ``df(term, df)`` are scored; of repeated terms the
+    largest df counts.  ``n_docs=None`` counts the records.  With a table small enough for literals (checked) there is no
     shuffle at all; a larger one is joined as the optimiser sees fit.
     """
     if n_docs is None:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.tokens import only, tokens, without
-from wordloom.session import pinned
 from wordloom.sources.lists import WordList, literal_words, settled, word_frame
 
 
@@ -23,9 +22,11 @@ def with_words(
     """Replace the text column by ``words``: tokens not stopped and, if given, in ``vocabulary``.
 
     Words keep their order and, unless ``distinct``, repeats; positions are
-    those of the filtered list.  Lists that fit into literals are applied inside
-    the row, in the scan stage.  Longer ones are joined, which shuffles tokens.
+    those of the filtered list, and a record without words keeps its row.  Lists
+    that fit into literals are applied inside the row, in the scan stage.
+    Longer ones are joined, which shuffles tokens; the result is the same.
     """
+    refuse(records, text, "words")
     stopwords, vocabulary = settled(stopwords), settled(vocabulary)
     kept = [c for c in records.columns if c != text]
     words = tokens(F.col(text), min_len=min_len, case_sensitive=case_sensitive)
@@ -39,36 +40,42 @@ def with_words(
     elif stop:
         out = out.withColumn("words", without("words", stop))
     spark = records.sparkSession
-    if stop is None:
-        out = _joined(out, word_frame(spark, stopwords), "left_anti")
-    if keep is None and vocabulary is not None:
-        out = _joined(out, word_frame(spark, vocabulary), "left_semi")
-    return out
+    long_stop = word_frame(spark, stopwords) if stop is None else None
+    long_keep = word_frame(spark, vocabulary) if vocabulary is not None and keep is None else None
+    return out if long_stop is None and long_keep is None else _joined(out, long_stop, long_keep)
 
 
-def _joined(records: DataFrame, listed: DataFrame, how: str) -> DataFrame:
-    """Filter ``words`` by a list of any length; the optimiser picks the join by size.
+def refuse(records: DataFrame, text: str, *names: str) -> None:
+    """Key columns must not have the name of a column that the operator adds."""
+    for c in records.columns:
+        if c != text and (c in names or c.startswith("__")):
+            raise ValueError(f"rename the key column {c!r}: the result has a column of that name")
 
-    A frequent word makes one large join key: adaptive execution splits it.  The
-    regrouping is by record, so a group is never larger than a record was.  The
-    record ids are pinned, since a task that runs again could number its rows
-    in another order.
+
+def _joined(records: DataFrame, stop: DataFrame | None, keep: DataFrame | None) -> DataFrame:
+    """Filter ``words`` by lists of any length; the optimiser picks the joins by size.
+
+    What is left of a word sequence depends on the sequence alone, so sequences
+    are joined under their digest and come back to every record that has it: no
+    record needs an id, and a task that runs again gives the same rows.  A record
+    without any word left keeps its row.  A frequent word makes one large join
+    key, which adaptive execution splits; equal sequences are put together
+    before their shuffle.
     """
     kept = [c for c in records.columns if c != "words"]
-    numbered = pinned(records.withColumn("__rec", F.monotonically_increasing_id()))
-    exploded = numbered.select(
-        "__rec", *kept, F.posexplode_outer("words").alias("__pos", "word")
+    keyed = records.withColumn("__key", F.when(F.size("words") > 0, F.sha2(F.array_join("words", " "), 256)))
+    rows = (
+        keyed.where("__key IS NOT NULL")
+        .select("__key", F.posexplode_outer("words").alias("__pos", "word"))
+        .where(F.col("word").isNotNull())
     )
-    back = (
-        exploded.where(F.col("word").isNotNull())
-        .join(listed, "word", how)
-        .groupBy("__rec")
-        .agg(
-            *[F.first(c).alias(c) for c in kept],
-            F.sort_array(F.collect_list(F.struct("__pos", "word"))).alias("__seq"),
-        )
-    )
-    return back.select(*kept, F.col("__seq.word").alias("words"))
+    if stop is not None:
+        rows = rows.join(stop, "word", "left_anti")
+    if keep is not None:
+        rows = rows.join(keep, "word", "left_semi")
+    left = rows.groupBy("__key").agg(F.sort_array(F.collect_set(F.struct("__pos", "word"))).alias("__seq"))
+    none = F.when(F.col("words").isNotNull(), F.array().cast("array<string>"))
+    return keyed.join(left, "__key", "left").select(*kept, F.coalesce("__seq.word", none).alias("words"))
 
 
 def exploded_words(records: DataFrame, word: str = "word") -> DataFrame:

@@ -28,8 +28,9 @@ def score_text(scores: DataFrame) -> DataFrame:
 
 
 def tsv_lines(df: DataFrame, out: str = "value") -> DataFrame:
-    """The columns of each row as one tab-separated string."""
-    return df.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in df.columns]).alias(out))
+    """The columns of each row as one tab-separated string; a null is an empty field."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    return df.select(F.concat_ws("\t", *fields).alias(out))
 
 
 def write_tsv(

@@ -1,4 +1,4 @@
-from wordloom.sources.corpus import file_doc_id, lines, read_table, read_text, records, spread
+from wordloom.sources.corpus import file_doc_id, lines, read_table, read_text, records
 from wordloom.sources.lists import WordList, parse_df_table, parse_words, read_df_table, read_words, settled
 
 __all__ = [
@@ -13,5 +13,4 @@ __all__ = [
     "read_words",
     "records",
     "settled",
-    "spread",
 ]

@@ -24,39 +24,42 @@ def file_doc_id(path: Column) -> Column:
     return F.replace(F.substring_index(path, "/", -1), F.lit(".txt"), F.lit(""))
 
 
-def _lines_of(text: Column, max_line: int | None) -> Column:
+def _lines_of(text: Column) -> Column:
     """The lines of a text; a terminator ends a line, so none follows the last one."""
-    if max_line is None:
-        n = F.length(text)
-        unended = (
-            F.when(F.endswith(text, F.lit("\r\n")), F.substring(text, 1, n - 2))
-            .when(F.endswith(text, F.lit("\n")) | F.endswith(text, F.lit("\r")), F.substring(text, 1, n - 1))
-            .otherwise(text)
-        )
-        return F.when(text != "", F.split(unended, LINE_END))
-    kept = F.filter(
-        F.split(text, _AFTER_LINE_END),
-        lambda line: (line != "") & (F.octet_length(line) < max_line),
+    n = F.length(text)
+    unended = (
+        F.when(F.endswith(text, F.lit("\r\n")), F.substring(text, 1, n - 2))
+        .when(F.endswith(text, F.lit("\n")) | F.endswith(text, F.lit("\r")), F.substring(text, 1, n - 1))
+        .otherwise(text)
     )
-    return F.transform(kept, lambda line: F.regexp_replace(line, f"(?:{LINE_END})$", ""))
+    return F.when(text != "", F.split(unended, LINE_END))
+
+
+def _ended_lines(text: Column) -> Column:
+    """The lines with their terminators."""
+    return F.filter(F.split(text, _AFTER_LINE_END), lambda line: line != "")
 
 
 def lines(docs: DataFrame, *, text: str = "text", max_line: int | None = None) -> DataFrame:
     """One row per line, with ``line_no`` from 0; the other columns are repeated.
 
     ``max_line`` skips lines whose bytes, terminator included, number that many
-    or more; ``line_no`` then counts the lines that are left.
+    or more; a last line without terminator has none to count.  ``line_no`` is
+    the line's number in the whole text with or without the option.
     """
     kept = [c for c in docs.columns if c != text]
-    exploded = docs.select(
-        *kept, F.posexplode_outer(_lines_of(F.col(text), max_line)).alias("line_no", text)
-    )
-    return exploded.where(F.col("line_no").isNotNull())
+    parts = _lines_of(F.col(text)) if max_line is None else _ended_lines(F.col(text))
+    exploded = docs.select(*kept, F.posexplode_outer(parts).alias("line_no", text))
+    if max_line is None:
+        return exploded.where(F.col("line_no").isNotNull())
+    short = exploded.where(F.octet_length(text) < max_line)
+    return short.withColumn(text, F.regexp_replace(text, f"(?:{LINE_END})$", ""))
 
 
 def without_long_lines(docs: DataFrame, max_line: int, *, text: str = "text") -> DataFrame:
-    """Whole documents again, less their lines of ``max_line`` bytes or more."""
-    return docs.withColumn(text, F.array_join(_lines_of(F.col(text), max_line), "\n"))
+    """Whole documents again, less their lines of ``max_line`` bytes or more; the others are as they were."""
+    kept = F.filter(_ended_lines(F.col(text)), lambda line: F.octet_length(line) < max_line)
+    return docs.withColumn(text, F.array_join(kept, ""))
 
 
 def records(
@@ -74,34 +77,22 @@ def read_text(
 ) -> DataFrame:
     """Text files, directories or globs as ``(doc_id, text)``.
 
-    Line grain splits large files between tasks; there a terminator counts one
-    byte towards ``max_line``, whatever it is in the file.
+    Line grain splits large files between tasks.  With ``max_line`` every file
+    is read as a whole, since only then the ends of its lines are known; the
+    lines, their numbers and their sizes are those of the same text in a table.
     """
     _check_grain(grain)
-    raw = spark.read.text(path, wholetext=grain == "doc")
+    raw = spark.read.text(path, wholetext=grain == "doc" or max_line is not None)
     out = raw.select(
         file_doc_id(F.col("_metadata.file_name")).alias("doc_id"), F.col("value").alias("text")
     )
     if max_line is None:
         return out
-    if grain == "line":
-        return out.where(F.octet_length("text") + 1 < max_line)
-    return without_long_lines(out, max_line)
+    return lines(out, max_line=max_line) if grain == "line" else without_long_lines(out, max_line)
 
 
 def read_table(
     spark: SparkSession, path: str | list[str], *, keys: tuple[str, ...] = ("doc_id",), text: str = "text"
 ) -> DataFrame:
-    """Key and text columns of a parquet table, spread over the cluster."""
-    return spread(spark.read.parquet(path).select(*keys, text))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out evenly if the scan has fewer tasks than the cluster has cores.
-
-    A few large row groups would otherwise leave cores idle in the expensive,
-    row-local part of every job.  A large input has tasks enough and is left
-    alone, so its text is never shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+    """Key and text columns of a parquet table.  Tasks follow the files' row groups; no text is shuffled."""
+    return spark.read.parquet(path).select(*keys, text)
