@@ -31,17 +31,18 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows get numbers in a stored table, so that of repeated rows one stays.
     """
-    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()))
-    found = simhash.near_duplicates(numbered, key="__row")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    row = F.struct(*[docs[c] for c in docs.columns])
+    numbered = stored(docs.select(F.monotonically_increasing_id().alias("id"), row.alias("row")))
+    found = simhash.near_duplicates(numbered.select("id", "row.text"), key="id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
     first = (
-        found.select(F.col("doc_id").alias("__row"), "component_id")
-        .join(numbered.select("__row", "doc_id"), "__row")
+        found.select(F.col("doc_id").alias("id"), "component_id")
+        .join(numbered.select("id", "row.doc_id"), "id")
         .groupBy("component_id")
         .agg(F.min(order).alias("first"))
-        .select(F.col("first.__row").alias("__row"))
+        .select(F.col("first.id").alias("id"))
     )
-    return numbered.join(first, "__row", "left_semi").drop("__row")
+    return numbered.join(first, "id", "left_semi").select("row.*")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,29 +50,26 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A document may end up empty; it stays.  ``n_chars`` is counted anew; a null text stays null.
     """
-    found = suffix_dedup.with_spans(docs)
-    at = found.columns.index("text")
+    found = suffix_dedup.with_spans(docs).select(F.col("row.text").alias("text"), "row", "spans")
     out = to_arrow_schema(found.schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = batch.column("text").to_pylist()
-            for n, spans in enumerate(batch.column("__spans").to_pylist()):
+            for n, spans in enumerate(batch.column("spans").to_pylist()):
                 if spans:
                     raw = kept[n].encode()
                     runs = suffix_dedup.whole_characters(raw, suffix_dedup.union(spans))
                     kept[n] = suffix_dedup.kept_bytes(raw, runs).decode()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kept, out[at].type) if i == at else c for i, c in enumerate(batch.columns)], schema=out
-            )
+            columns = [pa.array(kept, out[0].type), batch.column("row"), batch.column("spans")]
+            yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     done = found.mapInArrow(cut, found.schema)
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        done = done.withColumn(
-            "n_chars", F.when(F.col("__spans").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-        )
-    return done.select(*docs.columns)
+        counted = F.length("text").cast(dict(docs.dtypes)["n_chars"])
+        new["n_chars"] = F.when(F.col("spans").isNotNull(), counted).otherwise(F.col("row.n_chars"))
+    return done.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,7 @@ def stored(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return spark.read.schema(df.schema).parquet(path)
@@ -50,10 +52,28 @@ def label_remainder(key: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``most`` bytes of a column at most, a row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+    at = 0
+    while at < len(ends):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def arrow(
-    df: DataFrame, make: Callable[[pa.RecordBatch], dict | None], schema: str, *, start: Callable | None = None
+    df: DataFrame,
+    make: Callable[[pa.RecordBatch], dict | None],
+    schema: str,
+    *,
+    start: Callable | None = None,
+    most_text: int | None = None,
 ) -> DataFrame:
-    """``mapInArrow`` with a function from one batch to columns; ``start()`` gives state per task."""
+    """``mapInArrow`` with a function from one batch to columns; ``start()`` gives state per task.
+
+    ``most_text`` cuts batches by the bytes of their text column.
+    """
     fields = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -61,7 +81,7 @@ def arrow(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = () if start is None else (start(),)
-        for batch in batches:
+        for batch in (b for x in batches for b in (slices(x, "text", most_text) if most_text else (x,))):
             if batch.num_rows and (found := make(*state, batch)) is not None:
                 columns = [found[f.name] for f in out]
                 yield pa.RecordBatch.from_arrays(

@@ -5,10 +5,11 @@ it, depends on the window's bytes alone, so equal windows have equal anchors in
 equal places.  Three steps follow from this:
 
 1.  Anchors that occur once in the corpus are dropped: their windows occur once.
-2.  Each remaining anchor keeps its context, the stretch of text that holds the
-    windows with this anchor.  Equal contexts are counted before any shuffle and
-    enter once.  Contexts meet by anchor.
-3.  Contexts are aligned at their anchors and cut into shards.  Every shard has
+2.  Each remaining anchor has a context, the stretch of text that holds the windows
+    with this anchor.  Contexts are counted by digest; one that occurs twice
+    repeats wholly.
+3.  Only anchors with different contexts need their bytes.  These contexts meet by
+    anchor, are aligned at it and cut into shards.  Every shard has
     its Burrows-Wheeler transform, column by column: the bytes before each column
     in the order of the suffixes that start there.  Shards are merged by refining
     their interleave one column at a time: a stable partition of the interleave
@@ -25,6 +26,7 @@ their digests instead, which any number of tasks can share.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import arrow, stored, table, texts
+from wordloom.llm.common import arrow, stored, table, text_of, texts
 
 LENGTH, GRAM = 200, 64
 #: Different contexts of an anchor up to which they are merged in one task.
@@ -44,7 +46,9 @@ MERGE_ROWS, SHARD_ROWS = 16_000, 4_000
 #: Bits of the map that tells repeated anchors before the shuffle (16 MB, whatever the
 #: input).  It may let others through, which are dropped later; it never drops one.
 MAP_BITS = 27
-_CHUNK = 1 << 22
+#: Digests of contexts that a task remembers, so as not to send them again.
+SEEN_CONTEXTS = 100_000
+_CHUNK = 1 << 20
 _MIX = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) | np.uint64(1)
 _STEP = np.random.default_rng(6).integers(1, 1 << 63, 16, dtype=np.int64).astype(np.uint64) | np.uint64(1)
 _AT = np.uint64((1 << 24) - 1)
@@ -101,7 +105,7 @@ def repeated(docs: DataFrame, length: int, gram: int) -> DataFrame:
         h, n = np.unique(np.concatenate(found), return_counts=True)
         return {"h": h.view(np.int64), "n": n}
 
-    seen = arrow(docs.select("text"), make, "h long, n long")
+    seen = arrow(docs.select("text"), make, "h long, n long", most_text=16 * _CHUNK)
     return seen.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
 
 
@@ -123,48 +127,69 @@ def in_map(words: np.ndarray, key: np.ndarray, bits: int) -> np.ndarray:
     return (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-CONTEXTS = "h long, off int, ctx binary, ck binary, th binary, los array<int>, times int"
+def located(parts: list[bytes], known: np.ndarray, length: int, gram: int, bits: int) -> Iterator[tuple]:
+    """Contexts of the anchors in the map: anchor's place in the context, bytes, digest, text, start there.
+
+    The digest is the anchor's hash and 64 bits of MD5, which tell the contexts of one anchor apart.
+    """
+    whole, ends = b"".join(parts), np.cumsum([len(x) for x in parts])
+    starts = ends - [len(x) for x in parts]
+    for h, place, first, last in anchors(parts, length, gram):
+        on = in_map(known, h, bits)
+        h, place, first, last = h[on], place[on], first[on], last[on]
+        owner = np.searchsorted(ends, first, "right")
+        start = first - starts[owner]
+        for x, a, p, q, n, lo in zip(*(v.tolist() for v in (h.view(np.int64), place, first, last, owner, start)), strict=True):
+            ctx = whole[p : q + length]
+            yield a - p, ctx, x.to_bytes(8, "big", signed=True) + hashlib.md5(b"%d," % (a - p) + ctx).digest()[:8], n, lo
 
 
 def contexts(docs: DataFrame, known: np.ndarray, length: int, gram: int, bits: int) -> DataFrame:
-    """Contexts of the anchors in the map: their bytes, the anchor's place in them, digest, text, starts there.
+    """Where the contexts are: digest ``ck``, last window start ``last``, text ``th`` and starts ``los`` in it.
 
     Equal texts of a batch give one row; ``times`` counts what it stands for.
     """
     held = docs.sparkSession.sparkContext.broadcast(known)
 
     def make(batch: pa.RecordBatch) -> dict | None:
-        parts = texts(batch)
-        whole, ends = b"".join(parts), np.cumsum([len(x) for x in parts])
-        starts, digests = ends - [len(x) for x in parts], {}
-        found: dict[tuple, list] = {}
-        for h, place, first, last in anchors(parts, length, gram):
-            on = in_map(held.value, h, bits)
-            h, place, first, last = h[on], place[on], first[on], last[on]
-            owner = np.searchsorted(ends, first, "right")
-            for x, a, p, q, n in zip(h.view(np.int64).tolist(), place.tolist(), first.tolist(), last.tolist(), owner.tolist()):
-                ctx = whole[p : q + length]
-                ck = hashlib.md5(b"%d,%d," % (x, a - p) + ctx).digest()
-                if n not in digests:
-                    digests[n] = hashlib.md5(parts[n]).digest()
-                row = found.setdefault((digests[n], ck), [x, a - p, ctx, set(), 0])
-                row[3].add(p - int(starts[n]))
-                row[4] += 1
+        parts, digests, found = texts(batch), {}, {}
+        for _, ctx, ck, n, lo in located(parts, held.value, length, gram, bits):
+            if n not in digests:
+                digests[n] = hashlib.md5(parts[n]).digest()
+            row = found.setdefault((ck, digests[n]), [len(ctx) - length, [], 0])
+            row[1].append(lo)
+            row[2] += 1
+        if not found:
+            return None
+        (cks, ths), (lasts, los, times) = zip(*found), zip(*found.values())
+        return {"ck": cks, "last": lasts, "th": ths, "los": [sorted(set(x)) for x in los], "times": times}
+
+    kinds = "ck binary, last int, th binary, los array<int>, times int"
+    return arrow(docs.select("text"), make, kinds, most_text=4 * _CHUNK)
+
+
+def context_bytes(docs: DataFrame, known: np.ndarray, length: int, gram: int, bits: int) -> DataFrame:
+    """``off, ck, ctx``: the contexts of the anchors in the map, compressed, each about once a task."""
+    held = docs.sparkSession.sparkContext.broadcast(known)
+
+    def make(seen: set, batch: pa.RecordBatch) -> dict | None:
+        if len(seen) > SEEN_CONTEXTS:
+            seen.clear()
+        found = {}
+        for off, ctx, ck, _, _ in located(texts(batch), held.value, length, gram, bits):
+            if ck not in seen:
+                seen.add(ck)
+                found[ck] = off, zlib.compress(ctx, 1, -15)
         if not found:
             return None
-        columns = list(zip(*found.values()))
-        ths, cks = zip(*found)
-        return {
-            "h": columns[0],
-            "off": columns[1],
-            "ctx": columns[2],
-            "ck": cks,
-            "th": ths,
-            "los": [sorted(x) for x in columns[3]],
-            "times": columns[4],
-        }
+        offs, ctxs = zip(*found.values())
+        return {"off": offs, "ck": list(found), "ctx": ctxs}
+
+    return arrow(docs.select("text"), make, "off int, ck binary, ctx binary", start=set, most_text=4 * _CHUNK)
+
 
-    return arrow(docs.select("text"), make, CONTEXTS)
+def anchor_of(ck: str) -> Column:
+    return F.substring(ck, 1, 8)
 
 
 def transform(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -226,73 +251,68 @@ def flat_runs(marks: np.ndarray, shift: int) -> list[int]:
 RUNS = "ck binary, runs array<int>"
 
 
-def merge_groups(distinct: DataFrame, length: int, gram: int) -> DataFrame:
+def merge_groups(different: DataFrame, length: int, gram: int) -> DataFrame:
     """The repeated window starts of each context, relative to it, for contexts dealt and sorted by anchor."""
     left = length - gram
     width = left + length
 
-    def solve(rows: list[tuple]) -> Iterator[tuple[bytes, list[int]]]:
+    def solve(rows: list[tuple]) -> tuple[list[bytes], list[list[int]]]:
         shards = []
         for at in range(0, len(rows), SHARD_ROWS):
             part = rows[at : at + SHARD_ROWS]
             shard = np.zeros((len(part), width), np.uint16)
-            for i, (_, off, ctx, _, _) in enumerate(part):
+            for i, (off, _, packed) in enumerate(part):
+                ctx = zlib.decompress(packed, -15)
                 shard[i, left - off : left - off + len(ctx)] = np.frombuffer(ctx, np.uint8)
                 shard[i, left - off : left - off + len(ctx)] += 1
             shards.append(shard)
+        cks, runs = [], []
         for at, marks in enumerate(merged(shards, length)):
-            for (_, off, ctx, ck, n), mark in zip(rows[at * SHARD_ROWS :], marks):
-                if n > 1:
-                    yield ck, [0, len(ctx) - length]
-                elif mark.any():
-                    yield ck, flat_runs(mark, left - off)
+            for i in np.flatnonzero(marks.any(1)).tolist():
+                off, ck, _ = rows[at * SHARD_ROWS + i]
+                cks.append(ck)
+                runs.append(flat_runs(marks[i], left - off))
+        return cks, runs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch_of(found: list[tuple[bytes, list[int]]]) -> pa.RecordBatch:
-            columns = [pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.list_(pa.int32()))]
-            return pa.RecordBatch.from_arrays(columns, names=["ck", "runs"])
-
-        def close() -> None:
-            if len(group) > 1:
-                ready.extend(group)
-            elif group and group[0][4] > 1:
-                alone.append((group[0][3], [0, len(group[0][2]) - length]))
-            group.clear()
-
-        group, ready, alone = [], [], []
+        def solved() -> pa.RecordBatch:
+            cks, runs = solve(ready) if ready else ([], [])
+            ready.clear()
+            return pa.RecordBatch.from_arrays([pa.array(cks, pa.binary()), pa.array(runs, pa.list_(pa.int32()))], names=["ck", "runs"])
+
+        group, ready = [], []
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("h", "off", "ctx", "ck", "n")), strict=True):
-                if group and row[0] != group[0][0]:
-                    close()
+            for row in zip(*(batch.column(c).to_pylist() for c in ("off", "ck", "ctx")), strict=True):
+                if group and row[1] == group[-1][1]:
+                    continue
+                if group and row[1][:8] != group[0][1][:8]:
+                    ready += group if len(group) > 1 else []
+                    group = []
                     if len(ready) >= MERGE_ROWS:
-                        yield batch_of(list(solve(ready)))
-                        ready.clear()
+                        yield solved()
                 group.append(row)
-            if alone:
-                yield batch_of(alone)
-                alone.clear()
-        close()
-        yield batch_of(alone + (list(solve(ready)) if ready else []))
+        ready += group if len(group) > 1 else []
+        yield solved()
 
-    dealt = distinct.select("h", "off", "ctx", "ck", "n").repartition("h").sortWithinPartitions("h", "ck")
-    return dealt.mapInArrow(run, RUNS)
+    dealt = different.repartition(anchor_of("ck")).sortWithinPartitions("ck")
+    return dealt.mapInArrow(run, "ck binary, runs array<int>")
 
 
-def count_windows(distinct: DataFrame, length: int) -> DataFrame:
+def count_windows(different: DataFrame, length: int) -> DataFrame:
     """The same for the contexts of very common anchors, window by window."""
 
     def make(batch: pa.RecordBatch) -> dict | None:
         out = defaultdict(list)
-        for ctx, ck, n in zip(*(batch.column(c).to_pylist() for c in ("ctx", "ck", "n")), strict=True):
+        for packed, ck in zip(*(batch.column(c).to_pylist() for c in ("ctx", "ck")), strict=True):
+            ctx = zlib.decompress(packed, -15)
             for p in range(len(ctx) - length + 1):
                 out["wk"].append(hashlib.md5(ctx[p : p + length]).digest())
                 out["ck"].append(ck)
                 out["p"].append(p)
-                out["n"].append(n)
         return out or None
 
-    each = arrow(distinct.select("ctx", "ck", "n"), make, "wk binary, ck binary, p int, n long")
-    again = each.groupBy("wk").agg(F.sum("n").alias("all")).where("all > 1").select(F.col("wk").alias("rk"))
+    each = arrow(different.select("ctx", "ck").distinct(), make, "wk binary, ck binary, p int")
+    again = each.groupBy("wk").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("wk").alias("rk"))
     hit = each.join(again, F.col("wk") == F.col("rk"), "left_semi").groupBy("ck").agg(F.collect_set("p").alias("ps"))
     return hit.select("ck", F.flatten(F.transform("ps", lambda p: F.array(p, p))).alias("runs"))
 
@@ -313,23 +333,24 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, b
     rows = docs.select("text").where(F.octet_length("text") >= length)
     known = bit_map(repeated(rows, length, gram), "h", bits)
     found = stored(contexts(rows, known, length, gram, bits))
-    distinct = stored(found.groupBy("h", "off", "ck", "ctx").agg(F.sum("times").alias("n")))
-    sizes = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("m"))
-    crowded = stored(sizes.where(F.col("m") > GROUP_CONTEXTS).select(F.col("h").alias("big")))
-    met = distinct
-    runs = None
+    counted = stored(found.groupBy("ck").agg(F.sum("times").alias("n"), F.max("last").alias("last")))
+    runs = counted.where("n > 1").select("ck", F.array(F.lit(0), "last").alias("runs"))
+    several = counted.groupBy(anchor_of("ck").alias("a")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    several = stored(several.select("a", "m", F.conv(F.hex("a"), 16, -10).cast("long").alias("h")))
+    different = context_bytes(rows, bit_map(several, "h", bits), length, gram, bits)
+    crowded = several.where(F.col("m") > GROUP_CONTEXTS).select("a")
     if crowded.limit(1).count():
-        at = F.col("h") == F.col("big")
-        runs = count_windows(distinct.join(crowded, at, "left_semi"), length)
-        met = distinct.join(crowded, at, "left_anti")
-    merging = merge_groups(met, length, gram)
-    runs = merging if runs is None else merging.unionByName(runs)
-    places = found.select("ck", "th", F.explode("los").alias("lo")).distinct()
-    covered = places.join(runs.withColumnRenamed("ck", "rk"), F.col("ck") == F.col("rk")).select(
+        different, at = stored(different), anchor_of("ck") == F.col("a")
+        runs = runs.unionByName(count_windows(different.join(crowded, at, "left_semi"), length))
+        different = different.join(crowded, at, "left_anti")
+    runs = runs.unionByName(merge_groups(different, length, gram)).select(F.col("ck").alias("rk"), "runs")
+    places = found.select("ck", "th", F.explode("los").alias("lo"))
+    covered = places.join(runs, F.col("ck") == F.col("rk")).select(
         "th",
         F.transform("runs", lambda x, i: x + F.col("lo") + F.when(i % 2 == 1, length).otherwise(0)).alias("spans"),
     )
-    return stored(covered.groupBy("th").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    # a set: equal texts name the same spans, once a task
+    return stored(covered.groupBy("th").agg(F.flatten(F.collect_set("spans")).alias("spans")))
 
 
 def digest_of(text: Column) -> Column:
@@ -337,27 +358,26 @@ def digest_of(text: Column) -> Column:
 
 
 def with_spans(docs: DataFrame, *, text: str = "text", length: int = LENGTH, gram: int = GRAM, bits: int = MAP_BITS) -> DataFrame:
-    """``docs`` and ``__spans``: the spans of bytes to remove, not yet united, null where nothing repeats.
+    """``row``, the document as a struct, and ``spans``: the spans of bytes to remove, not yet united, null if none.
 
     A null text is empty.  Equal texts of ``length`` bytes or more repeat
     wholly.  Only texts that may have spans, by a map of their digests, are shuffled to
     meet them.
     """
-    own = F.coalesce(docs[text].cast("string"), F.lit(""))
-    spans = repeated_spans(docs.select(own.alias("text")), length=length, gram=gram, bits=bits)
-    marked = bit_map(spans.select(F.xxhash64("th").alias("k")), "k", bits)
+    own = text_of(docs, text)
+    found = repeated_spans(docs.select(own.alias("text")), length=length, gram=gram, bits=bits)
+    marked = bit_map(found.select(F.xxhash64("th").alias("k")), "k", bits)
     held = docs.sparkSession.sparkContext.broadcast(marked)
+
     @F.pandas_udf("boolean")
     def may(keys: pd.Series) -> pd.Series:
         return pd.Series(in_map(held.value, keys.to_numpy(np.int64).view(np.uint64), bits))
 
-    keyed = docs.withColumn("__th", digest_of(own)).withColumn("__may", may(F.xxhash64("__th")))
-    rest = keyed.where("not __may").withColumn("__spans", F.lit(None).cast("array<int>"))
-    met = keyed.where("__may").join(
-        spans.select(F.col("th").alias("__key"), F.col("spans").alias("__spans")), F.col("__th") == F.col("__key"), "left"
-    )
-    names = [*docs.columns, "__spans"]
-    return met.select(*names).unionByName(rest.select(*names))
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), digest_of(own).alias("key"))
+    keyed = keyed.withColumn("may", may(F.xxhash64("key")))
+    rest = keyed.where("not may").select("row", F.lit(None).cast("array<int>").alias("spans"))
+    met = keyed.where("may").join(found, F.col("key") == F.col("th"), "left").select("row", "spans")
+    return met.unionByName(rest)
 
 
 def kept_bytes(raw: bytes, runs: list[int]) -> bytes:
@@ -382,10 +402,11 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeats of 200 bytes or more cover in every document, and what is left."""
     docs = table(spark, sf_dir, "documents")
     found = with_spans(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")))
+    found = found.select("row.*", "spans")
 
     def make(batch: pa.RecordBatch) -> dict:
         out = defaultdict(list)
-        for raw, spans in zip(texts(batch), batch.column("__spans").to_pylist(), strict=True):
+        for raw, spans in zip(texts(batch), batch.column("spans").to_pylist(), strict=True):
             runs = union(spans or [])
             out["n_bytes"].append(len(raw))
             out["n_removed"].append(sum(runs[1::2]) - sum(runs[::2]))
