@@ -34,21 +34,20 @@ def rendezvous(
 
     ``grown`` names a further column: the shard if one more of weight 1 joined.
     Equal waiting times go to the lower number; equal keys go together; a null
-    key is a key like any other.  An empty table stays empty.
+    key is a key like any other.  An empty table stays empty.  A column that
+    has the name of a new one already is replaced.
     """
     if not weights or min(weights) <= 0:
         raise ValueError("weights must be positive, one for each shard")
-    if {shard, grown} & set(docs.columns):
-        raise ValueError(f"the table has a column {shard!r} or {grown!r} already")
     own = docs[key].cast("string")
     best = F.array_min(
         F.array(*[F.struct(waiting_time(own, i, w).alias("t"), F.lit(i).alias("i")) for i, w in enumerate(weights)])
     )
-    out = docs.select("*", best.alias("__best"))
+    new = {shard: best.getField("i").cast("int")}
     if grown:
-        more = waiting_time(own, len(weights), 1.0) < F.col("__best.t")
-        out = out.withColumn(grown, F.when(more, len(weights)).otherwise(F.col("__best.i")).cast("int"))
-    return out.withColumn(shard, F.col("__best.i").cast("int")).drop("__best")
+        more = waiting_time(own, len(weights), 1.0) < best.getField("t")
+        new[grown] = F.when(more, len(weights)).otherwise(best.getField("i")).cast("int")
+    return docs.withColumns(new)
 
 
 def slots(assigned: DataFrame, *, shard: str = "shard", order: Sequence[str] = ("doc_id",), slot: str = "slot") -> DataFrame:
@@ -59,19 +58,23 @@ def slots(assigned: DataFrame, *, shard: str = "shard", order: Sequence[str] = (
     numbered inside buckets, so no task holds a whole shard.  Rows equal in
     ``order`` are interchangeable.
     """
-    dealt = assigned.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(BUCKETS)).cast("int"))
-    before = Window.partitionBy(shard).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    names = [c for c in assigned.columns if c != slot]
+    dealt = assigned.select(
+        F.struct(*[assigned[c] for c in names]).alias("row"),
+        assigned[shard].alias("s"),
+        F.pmod(F.xxhash64(*[assigned[c] for c in order]), F.lit(BUCKETS)).cast("int").alias("b"),
+    )
+    before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     first = (
-        dealt.groupBy(shard, "__bucket")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(shard, "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
+        dealt.groupBy("s", "b")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("s", "b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     )
-    inside = Window.partitionBy(shard, "__bucket").orderBy(*order)
+    inside = Window.partitionBy("s", "b").orderBy(*[F.col("row").getField(c) for c in order])
     return (
-        dealt.withColumn("__row", F.row_number().over(inside))
-        .join(F.broadcast(first), [shard, "__bucket"])
-        .withColumn(slot, (F.col("__first") + F.col("__row") - 1).cast("long"))
-        .drop("__bucket", "__row", "__first")
+        dealt.withColumn("n", F.row_number().over(inside))
+        .join(F.broadcast(first), ["s", "b"])
+        .select(*[F.col("row").getField(c).alias(c) for c in names], (F.col("first") + F.col("n") - 1).cast("long").alias(slot))
     )
 
 
