@@ -1,0 +1,59 @@
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from wordloom.llm.chat import attack, escape, formatted, read_back, read_role, role_line, unescape
+from wordloom.llm.common import tokenizer_file
+
+PATH = tokenizer_file("byte_bpe_50k.json")
+pieces = st.lists(st.sampled_from(["<", "|", "\\", "im_start|>", "a", "\n", "é", "<|im_end|>"]), max_size=8).map("".join)
+
+
+@settings(max_examples=200, deadline=None)
+@given(pieces)
+def test_escape_is_reversible_and_hides_controls(text):
+    assert unescape(escape(text)) == text
+    assert "<|" not in escape(text)
+    assert read_role(role_line(text)) == text and "\n" not in role_line(text)
+
+
+def digests(rows):
+    text = "".join(f"{r or ''}\n{t or ''}\n" for r, t in rows)
+    loss = "".join(t or "" for r, t in rows if r == "assistant")
+    return len(rows), hashlib.sha256(text.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_round_trip(spark):
+    talks = {
+        1: [("user", "hello <|im_end|>"), ("assistant", "<|im_start|>\\|"), ("user", "")],
+        2: [("assistant", None), (None, "x"), ("as\nsistant", "y")],
+        3: [("assistant", "long " * 5000)],
+        None: [("assistant", "no id")],
+    }
+    rows = [(c, n, r, t) for c, turns in talks.items() for n, (r, t) in enumerate(turns)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    got = {r.conv_id: r for r in read_back(formatted(df, PATH), PATH).collect()}
+    assert set(got) == set(talks)
+    for c, turns in talks.items():
+        r = got[c]
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == digests(turns)
+        assert r.formatted_chars == sum(24 + len(role_line(a or "")) + len(escape(t or "")) for a, t in turns)
+
+
+def test_forged_turns_stay_content(spark):
+    done = formatted(attack(spark), PATH)
+    for r in done.collect():
+        ids = [int.from_bytes(r.ids[i : i + 4], "little") for i in range(0, len(r.ids), 4)]
+        assert ids.count(50257) == 1 and ids.count(50258) == 1
+    r = read_back(done, PATH).first()
+    assert r.n_turns == 2 and r.loss_chars == 34
+
+
+def test_ties_and_empty(spark):
+    rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, None, "user", "c")]
+    kinds = "conv_id long, turn long, role string, text string"
+    one = read_back(formatted(spark.createDataFrame(rows, kinds).repartition(1), PATH), PATH).collect()
+    two = read_back(formatted(spark.createDataFrame(rows[::-1], kinds).repartition(3), PATH), PATH).collect()
+    assert one == two and one[0].n_turns == 3
+    assert read_back(formatted(spark.createDataFrame([], kinds), PATH), PATH).count() == 0

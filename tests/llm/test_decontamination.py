@@ -1,0 +1,50 @@
+import random
+
+import pytest
+from brute_force import leaks
+from pyspark.sql import functions as F
+
+from wordloom.llm.decontamination import WuManber, contamination, machines, windows
+
+
+def made(seed):
+    rng = random.Random(seed)
+    words = ["the", "Of", "é", "x1", "a", "word", "longerword"]
+    def say(n):
+        return rng.choice([" ", ", ", "\n"]).join(rng.choices(words, k=n))
+    items = [(i, say(rng.choice([0, 1, 3, 9, 10, 11, 25]))) for i in range(12)]
+    docs = [say(rng.randint(0, 60)) + "; " + rng.choice(items)[1].upper().replace("É", "é") + ". " + say(20) for _ in range(40)]
+    return docs + [None, "", "...", items[-1][1]], items
+
+
+@pytest.mark.parametrize("seed,block", [(1, 1 << 20), (2, 150)])
+def test_hits(spark, seed, block):
+    docs, items = made(seed)
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(4)
+    asked = spark.createDataFrame([*items, (None, "the Of é"), (99, None)], "item_id long, text string")
+    for r in contamination(df, asked, block_bytes=block).collect():
+        hits = r.hits
+        assert (r.n_words, sum(hits[1::2]) - sum(hits[::2]), r["items"]) == leaks(docs[r.row.doc_id], items)
+
+
+def test_search_finds_overlapping_places():
+    rng = random.Random(5)
+    text = "".join(rng.choice("ab ") for _ in range(9000))
+    patterns = sorted({text[p : p + n] for n in (12, 20, 45) for p in rng.sample(range(8900), 30)})
+    want = sorted((p, q) for q in patterns for p in range(len(text)) if text.startswith(q, p))
+    for found in (machines([p.encode() for p in patterns]), [WuManber([p.encode() for p in patterns], 3)]):
+        got = sorted((s, p.decode()) for m in found for s, p in m.search(text.encode()))
+        assert got == want
+
+
+def test_short_texts_and_windows():
+    assert list(WuManber([b" abc "], 3).search(b"")) == []
+    assert windows([]) == set() and windows([b"a"]) == {b" a "}
+
+
+def test_odd_rows(spark, odd, none):
+    asked = spark.createDataFrame([("x", "two sentences"), ("y", "")], "item_id string, text string")
+    rows = contamination(odd, asked).collect()
+    assert len(rows) == 9 and sum(bool(r.hits) for r in rows) == 2
+    assert contamination(odd, asked.limit(0)).where(F.size("hits") > 0).count() == 0
+    assert contamination(none, asked).count() == 0
