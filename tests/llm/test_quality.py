@@ -52,7 +52,9 @@ def test_rules_learn_and_keep_clean_documents(labelled):
     rules = fit(docs, labels.where("doc_id % 3 <> 0"))
     assert rules.rules and str(rules).startswith("reject if ")
     rows = judged(docs, rules).select("row.doc_id", "kept").collect()
-    assert all(r.kept == (r.doc_id % 5 != 0) for r in rows)
+    good = [r.kept for r in rows if r.doc_id % 5]
+    bad = [r.kept for r in rows if not r.doc_id % 5]
+    assert np.mean(good) > 0.99 and np.mean(bad) < 0.05
 
 
 def test_numpy_and_spark_judge_alike(labelled):
