@@ -19,11 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from wordloom.llm.common import table, text_of, texts
+from wordloom.llm.common import slices, table, text_of, texts
 
 WINDOW = 10
 #: Benchmark text that one search holds; a larger benchmark is searched in blocks of this size.
 BLOCK_BYTES = 8_000_000
+#: Text searched at a time, about.
+BATCH_BYTES = 8_000_000
 
 _WORD = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
 #: Lower-cases A-Z and blanks whatever is no word byte.
@@ -121,9 +123,7 @@ def searched(rows: DataFrame, items: list[tuple[str, bytes]], window: int) -> Da
             for w in windows(words(raw), window):
                 owners[w].add(name)
         search = machines(list(owners))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
             split = [words(raw) for raw in texts(batch)]
             joined = [b" " + b" ".join(x) + b" " for x in split]
             begin = np.cumsum([0] + [len(x) + 1 for x in joined])

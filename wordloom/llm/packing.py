@@ -34,7 +34,7 @@ def pieces(
 ) -> DataFrame:
     """Encode each text, end it with ``end_id`` and cut what is longer than ``capacity``.
 
-    One row per piece.  The first piece takes the remainder, all others are
+    One row per piece.  The string of a special token in a text is ordinary text.  The first piece takes the remainder, all others are
     full.  A null text is empty and gives one piece of one token; rows with
     equal or null keys stay apart.
     """
