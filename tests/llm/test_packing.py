@@ -4,11 +4,13 @@ from collections import defaultdict
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
-from wordloom.llm.common import encoding, tokenizer_file
+from wordloom.llm.common import encoder, encoding, tokenizer_file
 from wordloom.llm.packing import Bins, drain, least_sequences, pack, packed, pieces
 
 PATH = tokenizer_file("byte_bpe_50k.json")
+REFERENCE = Tokenizer.from_file(PATH)
 
 
 @settings(max_examples=60, deadline=None)
@@ -87,3 +89,16 @@ def test_groups_meet_again(spark):
     total = sum(n for _, n in rows)
     assert len(out) == 3000
     assert len({r.sequence_id for r in out}) <= 1.03 * -(-total // 100)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext|", "|>", " ", "\n", "see", "It's", "é", "12", "  \t", "　", "日本", "?!"]) | st.text(max_size=4), max_size=12))
+def test_ids_are_those_of_tokenizers(parts):
+    text = "".join(parts)
+    assert encoder(PATH)(text) == REFERENCE.encode(text, add_special_tokens=False).ids
+
+
+def test_added_token_in_a_text(spark):
+    row = pieces(spark.createDataFrame([(1, "see <|endoftext|> here")], "doc_id long, text string"), PATH, end_id=2).first()
+    ids = [3826, 220, 50256, 994, 2]
+    assert row.length == 5 and row.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())

@@ -104,19 +104,31 @@ def tokenizer_file(name: str) -> str:
 
 @lru_cache(maxsize=2)
 def encoding(path: str):
-    """A byte-level BPE encoder from a JSON vocabulary file, ids as in the file."""
+    """A byte-level BPE encoder from a JSON vocabulary file, ids as in the file; its added tokens are special tokens."""
     import json
 
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
+        file = json.load(f)
+    model = file["model"]
     codes = {c: b for b, c in byte_characters().items()}
     ranks = {bytes(codes[c] for c in piece): i for piece, i in model["vocab"].items() if all(c in codes for c in piece)}
     special = [p for p, i in model["vocab"].items() if i >= 256 + len(model["merges"])]
     for piece in special:
         ranks.pop(piece.encode(), None)
-    return tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+    for token in file["added_tokens"]:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"added token {token['content']!r} takes or asks for what is around it")
+        ranks.pop(token["content"].encode(), None)
+    added = {token["content"]: token["id"] for token in file["added_tokens"]}
+    return tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=added)
+
+
+def encoder(path: str) -> Callable[[str], list[int]]:
+    """Ids as ``tokenizers`` gives them without special tokens around: an added token inside a text is its one id."""
+    found = encoding(path)
+    return lambda text: found.encode(text, allowed_special="all")
 
 
 # fixed value: the word pattern of the byte-level vocabulary

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import arrow, encoding, stored, table, tokenizer_file
+from wordloom.llm.common import arrow, encoder, stored, table, tokenizer_file
 
 CAPACITY = 1024
 #: Pieces of a packing group: what one task holds at a time.
@@ -34,8 +34,8 @@ def pieces(
 ) -> DataFrame:
     """Encode each text, end it with ``end_id`` and cut what is longer than ``capacity``.
 
-    One row per piece.  The string of a special token in a text is ordinary text.  The first piece takes the remainder, all others are
-    full.  A null text is empty and gives one piece of one token; rows with
+    One row per piece.  The string of an added token of the vocabulary file is one
+    token in a text too.  The first piece takes the remainder, all others are full.  A null text is empty and gives one piece of one token; rows with
     equal or null keys stay apart.
     """
     end = array("I", [end_id])
@@ -56,7 +56,7 @@ def pieces(
         return out
 
     rows = docs.select(docs[key].cast("long").alias("key"), docs[text].cast("string").alias("text"))
-    return arrow(rows, make, PIECES, start=lambda: encoding(tokenizer).encode_ordinary)
+    return arrow(rows, make, PIECES, start=lambda: encoder(tokenizer))
 
 
 class Bins:
