@@ -102,3 +102,34 @@ def test_added_token_in_a_text(spark):
     row = pieces(spark.createDataFrame([(1, "see <|endoftext|> here")], "doc_id long, text string"), PATH, end_id=2).first()
     ids = [3826, 220, 50256, 994, 2]
     assert row.length == 5 and row.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_surplus_of_one_group_meets_that_of_others(spark):
+    """Few sequences fill exactly, and each group has too many of one kind."""
+    rng = np.random.default_rng(2)
+    rows = [(i, int(n)) for i, n in enumerate(rng.choice([300, 700], 4000))]
+    out = packed(spark.createDataFrame(rows, "doc_id long, length long"), group_items=100).collect()
+    fill, short = defaultdict(int), sum(n == 300 for _, n in rows)
+    for r in out:
+        fill[r.sequence_id] += r.length
+    long = len(rows) - short
+    best = long + -(-max(0, short - long) // 3)
+    assert len(out) == 4000 and max(fill.values()) <= 1024
+    assert len(fill) <= best + 2
+
+
+def test_drained_sequences_are_tried_again():
+    from wordloom.llm import packing
+
+    rng, tried = np.random.default_rng(7), []
+    for _ in range(40):
+        lengths = rng.integers(20, 70, 40).tolist()
+        bins = Bins(100)
+        at = pack(lengths, 100)
+        for b in {b for b, _ in at}:
+            held = sorted((n, i) for i, (n, (own, _)) in enumerate(zip(lengths, at)) if own == b)
+            bins.items[b], bins.fill[b] = held, sum(n for n, _ in held)
+            bins._list(b)
+        if len(bins.items) > least_sequences(lengths, 100):
+            tried.append(any(packing.drain(bins, b) for b in list(bins.items) if bins.fill[b] < 100))
+    assert tried and not any(tried)

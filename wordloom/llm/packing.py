@@ -3,8 +3,8 @@
 A best-fit start, then swap-based local search: documents move, or are exchanged
 one for one or two for one, from the emptiest sequence to fuller ones.  Every
 step increases the sum of squared fills, so the emptiest sequences drain and
-vanish.  Groups of bounded size are packed in parallel; what their underfull
-sequences hold is dealt anew into fewer groups, until one group is left.
+vanish.  Groups of bounded size are packed in parallel; what their emptiest
+sequences hold is dealt anew, until one group is left or nothing is saved.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from wordloom.llm.common import arrow, encoder, stored, table, tokenizer_file
 CAPACITY = 1024
 #: Pieces of a packing group: what one task holds at a time.
 GROUP_ITEMS = 3000
+#: Share of a round's pieces that the next round deals anew at most, from the lowest fill on; the lowest fill always.
+DEALT_ANEW = 0.8
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -35,7 +37,8 @@ def pieces(
     """Encode each text, end it with ``end_id`` and cut what is longer than ``capacity``.
 
     One row per piece.  The string of an added token of the vocabulary file is one
-    token in a text too.  The first piece takes the remainder, all others are full.  A null text is empty and gives one piece of one token; rows with
+    token in a text too.  The first piece takes the remainder, all others are
+    full.  A null text is empty and gives one piece of one token; rows with
     equal or null keys stay apart.
     """
     end = array("I", [end_id])
@@ -165,19 +168,24 @@ def pack(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(sequence, offset) of each length, by best fit and then local search.
 
     Ends when the number of sequences is the lower bound, or no
-    sequence can be drained any further.
+    sequence can be drained any further: one that could not is tried again after
+    others have changed.
     """
     bins = Bins(capacity)
     for x in sorted(((n, i) for i, n in enumerate(lengths)), key=lambda x: (-x[0], x[1])):
         bins.place(x)
     least = least_sequences(lengths, capacity)
-    stuck: set[int] = set()
-    while len(bins.items) > least and (open_bins := [b for b in bins.items if b not in stuck]):
+    stuck, changed = set(), False
+    while len(bins.items) > least:
+        open_bins = [b for b in bins.items if b not in stuck and bins.fill[b] < capacity]
+        if not open_bins:
+            if not changed:
+                break
+            stuck, changed = set(), False
+            continue
         source = min(open_bins, key=lambda b: (bins.fill[b], b))
-        if bins.fill[source] == capacity:
-            break
         while source in bins.items and drain(bins, source):
-            pass
+            changed = True
         stuck.add(source)
     at = [(0, 0)] * len(lengths)
     for b, held in bins.items.items():
@@ -197,7 +205,7 @@ def packer(base: int, capacity: int, length: str) -> Callable[[pd.DataFrame], pd
         first = -1 - ((base + int(group["__group"].iloc[0])) << 24)
         group["sequence_id"] = [first - b for b, _ in at]
         group["offset"] = [o for _, o in at]
-        group["__open"] = group.groupby("sequence_id")[length].transform("sum") < capacity
+        group["__fill"] = group.groupby("sequence_id")[length].transform("sum")
         return group
 
     return one
@@ -208,36 +216,41 @@ def packed(
 ) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to a table of pieces no longer than ``capacity``.
 
-    Full pieces are sequences by themselves and are not shuffled.  The table is
+    Full pieces are sequences by themselves and are not shuffled.  After each
+    round the emptiest sequences are dealt anew, until one group is left or a
+    round saves no sequence; then what they held before stays.  The table is
     stored first, so that the numbers given to its rows hold whatever is run again.
     """
     rows = stored(cut.withColumn("__id", F.monotonically_increasing_id()))
     full = rows.where(F.col(length) >= capacity)
     done = [full.select("*", F.col("__id").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
-    left, base = rows.where(F.col(length) < capacity), 0
-    names = rows.columns
-    while True:
-        count = left.count()
-        if not count:
-            break
+    left, base, before, names = rows.where(F.col(length) < capacity), 0, None, rows.columns
+    while count := left.count():
         groups = -(-count // group_items)
-
-        schema = left.withColumns(
-            {"__group": F.lit(0), "sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long"), "__open": F.lit(True)}
-        ).schema
+        new = {"__group": F.lit(0), "sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long"), "__fill": F.lit(0).cast("long")}
         out = stored(
-            left.withColumn("__group", F.pmod(F.xxhash64("__id"), F.lit(groups)).cast("int"))
+            left.select(*names, F.pmod(F.xxhash64("__id", F.lit(base)), F.lit(groups)).cast("int").alias("__group"))
             .groupBy("__group")
-            .applyInPandas(packer(base, capacity, length), schema)
+            .applyInPandas(packer(base, capacity, length), left.select(*names).withColumns(new).schema)
         )
         base += groups
-        if groups == 1 or (again := out.where("__open").count()) > 0.8 * count:
-            done.append(out.select(*names, "sequence_id", "offset"))
+        # fill -> (pieces, sequences); at most one row for each fill
+        sizes = {r["__fill"]: (r["n"], r["s"]) for r in out.groupBy("__fill").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("offset") == 0).cast("long")).alias("s")).collect()}
+        if before is not None and sum(s for _, s in sizes.values()) >= before:
+            done.append(left.select(*names, "sequence_id", "offset"))
             break
-        done.append(out.where("not __open").select(*names, "sequence_id", "offset"))
-        if not again:
+        fills = sorted(f for f in sizes if f < capacity)
+        if groups == 1 or not fills:
+            done.append(out.select(*names, "sequence_id", "offset"))
             break
-        left = out.where("__open").select(*names)
+        taken, most = sizes[fills[0]][0], fills[0]
+        for f in fills[1:]:
+            if (taken := taken + sizes[f][0]) > DEALT_ANEW * count:
+                break
+            most = f
+        before = sum(s for f, (_, s) in sizes.items() if f <= most)
+        done.append(out.where(F.col("__fill") > most).select(*names, "sequence_id", "offset"))
+        left = out.where(F.col("__fill") <= most)
     result = done[0]
     for more in done[1:]:
         result = result.unionByName(more)
