@@ -35,3 +35,31 @@ def test_blocks_and_differences():
 def test_odd_rows(odd, none):
     assert scan(odd).count() == 0
     assert scan(none).count() == 0
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+
+
+def test_notice_inside_a_long_line(spark):
+    prose = " ".join(f"word{i % 37} of{i % 11} filler{i}" for i in range(60))
+    text = f"{prose} Released under the MIT License. {prose} Licensed under CC BY-SA 4.0. {prose}"
+    rows = scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert sorted(r.license for r in rows if r.exact and r.confirmed) == ["CC-BY-SA-4.0", "MIT"]
+
+
+def test_full_text_over_lines_without_hints(spark, tmp_path):
+    from wordloom.llm.licenses import templates_in
+
+    (tmp_path / "MIT-text.txt").write_text(MIT)
+    templates = TEMPLATES | templates_in(spark, str(tmp_path))
+    text = f"Some prose before.\n{MIT}\nAnd some after."
+    rows = [r for r in scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), templates).collect() if r.confirmed]
+    assert [(r.license, r.first_line, r.last_line, r.exact) for r in rows] == [("MIT-text", 1, 9, True)]

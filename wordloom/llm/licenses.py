@@ -2,19 +2,22 @@
 
 Blocks of lines that hint at a license are compressed twice: alone, and with
 each template as a raw Zstandard dictionary.  The template that saves the
-largest share of the size wins; the winner is confirmed by the words in which
-block and template differ.
+most wins; the winner is confirmed by the words in which block and template
+differ.  So are windows of words around each hint, whatever lines they lie on:
+they find notices inside long lines and texts of which only some lines hint.
 """
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wordloom.llm.common import arrow, table
 
@@ -22,6 +25,8 @@ from wordloom.llm.common import arrow, table
 HINT = re.compile(r"licen[sc]|copyright|\bspdx\b|warrant|permission is|redistribut|public domain|\bcc0\b|all rights reserved", re.I)
 LEAST_SAVING = 0.2
 LEAST_AGREEMENT = 0.75
+#: Foreign words that a window has room for beside the words of a template.
+SLACK = 4
 
 # fixed values: the wording of short notices
 TEMPLATES = {
@@ -47,8 +52,17 @@ FOUND = (
 )
 
 
+WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
+
+
 def words(text: str) -> list[str]:
-    return re.findall(r"[^\W_]+(?:[.\-][^\W_]+)*", text.lower())
+    return WORD.findall(text.lower())
+
+
+def templates_in(spark: SparkSession, path: str) -> dict[str, str]:
+    """Templates from the ``.txt`` files of a folder, named by the files."""
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt").select("value", F.col("_metadata.file_name").alias("name"))
+    return {r.name.removesuffix(".txt"): r.value for r in files.collect()}
 
 
 def blocks(text: str) -> list[tuple[int, int, str]]:
@@ -81,13 +95,20 @@ class Compressor:
             name: z.ZstdCompressor(dict_data=z.ZstdCompressionDict(t.encode(), dict_type=z.DICT_TYPE_RAWCONTENT), **plain)
             for name, t in self.templates.items()
         }
+        self.own = {name: len(self.alone.compress(t.encode())) for name, t in self.templates.items()}
+        self.words = {name: words(t) for name, t in self.templates.items()}
+        self.reach = max(map(len, self.words.values()), default=0) + SLACK
 
     def ranked(self, block: str) -> list[tuple[float, str, int, int]]:
-        """(saving, name, size alone, size after the template), the largest saving first, then by name."""
+        """(saving, name, size alone, size after the template), the smallest size first, then by name.
+
+        The saving is the share of the block's size, or of the template's own where that is smaller.
+        """
         raw = block.encode()
         alone = len(self.alone.compress(raw))
         sizes = {name: len(c.compress(raw)) for name, c in self.after.items()}
-        return sorted(((1 - n / alone, name, alone, n) for name, n in sizes.items()), key=lambda x: (-x[0], x[1]))
+        found = (((alone - n) / min(alone, self.own[name]), name, alone, n) for name, n in sizes.items())
+        return sorted(found, key=lambda x: (x[3], x[1]))
 
 
 def difference(block: str, template: str) -> tuple[float, list[str], list[str]]:
@@ -104,6 +125,47 @@ def difference(block: str, template: str) -> tuple[float, list[str], list[str]]:
     return len(inside_a) / len(a), missing, extra
 
 
+def densest(found: list[str], template: list[str]) -> tuple[int, int]:
+    """The words, as many as the template has, that share most with it; the first such place."""
+    size, wanted, held = len(template), Counter(template), Counter()
+    shared = best = at = 0
+    for i, w in enumerate(found):
+        held[w] += 1
+        shared += held[w] <= wanted[w]
+        if i >= size:
+            out = found[i - size]
+            shared -= held[out] <= wanted[out]
+            held[out] -= 1
+        if shared > best:
+            best, at = shared, max(0, i - size + 1)
+    return at, min(len(found), at + size)
+
+
+def inside(text: str, compressor: Compressor, finalists: int, cache: dict) -> list[tuple[int, int, str]]:
+    """Start, end and text of the best place of each finalist in the windows of words around each hint."""
+    spots = [m.span() for m in WORD.finditer(text)]
+    starts, out, seen = [a for a, _ in spots], [], set()
+    for hint in HINT.finditer(text):
+        at = bisect.bisect_right(starts, hint.start())
+        first, last = max(0, at - compressor.reach), min(len(spots), at + compressor.reach)
+        if first >= last:
+            continue
+        window = text[spots[first][0] : spots[last - 1][1]]
+        if window not in cache:
+            cache[window] = [name for _, name, _, _ in compressor.ranked(window)[:finalists]]
+        found = [text[a:b].lower() for a, b in spots[first:last]]
+        for name in cache[window]:
+            low, high = densest(found, compressor.words[name])
+            # foreign words inside a notice push its ends out
+            for slack in (0, SLACK):
+                a, b = max(0, low - slack), min(len(found), high + slack)
+                span = spots[first + a][0], spots[first + b - 1][1]
+                if (span, name) not in seen:
+                    seen.add((span, name))
+                    out.append((*span, text[span[0] : span[1]]))
+    return out
+
+
 def scan(
     docs: DataFrame,
     templates: Mapping[str, str] = TEMPLATES,
@@ -116,6 +178,9 @@ def scan(
 ) -> DataFrame:
     """One row per candidate block of each whole text, with its winning template and their differences.
 
+    Blocks of hinting lines come first, confirmed or not; then confirmed places
+    in the windows around hints that no confirmed block with that license covers.
+
     Of the templates that save most, the ``finalists`` are compared word by
     word, and the one with the fewest differences wins (then the larger saving,
     then the name): numbers such as versions decide between near twins.
@@ -124,26 +189,49 @@ def scan(
     Nothing is shuffled.
     """
 
+    def verdict(compressor: Compressor, block: str, cache: dict) -> tuple:
+        """The winning template's columns, ``license`` to ``extra_words``."""
+        if block not in cache:
+            best = None
+            for saving, name, alone, size in compressor.ranked(block)[:finalists]:
+                agreement, missing, extra = difference(block, compressor.templates[name])
+                order = len(missing) + len(extra), size, name
+                if best is None or order < best[0]:
+                    best = order, (name, alone, size, saving, len(words(block)), agreement, missing, extra)
+            cache[block] = best[1]
+        return cache[block]
+
     def make(compressor: Compressor, batch: pa.RecordBatch) -> dict:
         out = defaultdict(list)
-        cache: dict[str, tuple] = {}
+        whole: dict[str, tuple] = {}
+        ranks: dict[str, list] = {}
         for own, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            for n, (first, last, block) in enumerate(blocks(text or "")):
-                if block not in cache:
-                    best = None
-                    for saving, name, alone, size in compressor.ranked(block)[:finalists]:
-                        agreement, missing, extra = difference(block, compressor.templates[name])
-                        order = len(missing) + len(extra), -saving, name
-                        if best is None or order < best[0]:
-                            best = order, (name, alone, size, saving, len(words(block)), agreement, missing, extra)
-                    cache[block] = best[1]
-                name, alone, size, saving, n_words, agreement, missing, extra = cache[block]
-                sure = saving >= least_saving and agreement >= least_agreement
-                row = (own, n, first, last, name, alone, size, saving, n_words, agreement, missing, extra, not missing and not extra, sure)
-                for c, v in zip(names, row, strict=True):
-                    out[c].append(v)
+            text = text or ""
+            runs = blocks(text)
+            if not runs:
+                continue
+            ends = [m.start() for m in re.finditer("\n", text)]
+            found = [(first, last, verdict(compressor, block, whole)) for first, last, block in runs]
+            taken, places = [(first, last, v[0]) for first, last, v in found if sure(v)], []
+            parts = [(a, b, verdict(compressor, part, whole)) for a, b, part in inside(text, compressor, finalists, ranks)]
+            more = []
+            for a, b, v in sorted(parts, key=lambda x: (len(x[2][6]) + len(x[2][7]), -x[2][5], x[1] - x[0], x[0])):
+                if not sure(v) or any(name == v[0] and low < b and a < high for low, high, name in places):
+                    continue
+                places.append((a, b, v[0]))
+                first, last = bisect.bisect_left(ends, a), bisect.bisect_left(ends, b)
+                if not any(name == v[0] and f <= first and last <= l for f, l, name in taken):
+                    more.append((a, first, last, v))
+            found += [x[1:] for x in sorted(more, key=lambda x: x[0])]
+            for n, (first, last, v) in enumerate(found):
+                row = (own, n, first, last, *v, not v[6] and not v[7], sure(v))
+                for c, value in zip(names, row, strict=True):
+                    out[c].append(value)
         return out or None
 
+    def sure(v: tuple) -> bool:
+        return v[3] >= least_saving and v[5] >= least_agreement
+
     names = [c.split()[0] for c in FOUND.split(", ")]
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
     return arrow(rows, make, FOUND, start=lambda: Compressor(templates))
