@@ -63,3 +63,19 @@ def test_full_text_over_lines_without_hints(spark, tmp_path):
     text = f"Some prose before.\n{MIT}\nAnd some after."
     rows = [r for r in scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), templates).collect() if r.confirmed]
     assert [(r.license, r.first_line, r.last_line, r.exact) for r in rows] == [("MIT-text", 1, 9, True)]
+
+
+def test_ties_for_the_last_place_are_compared(spark):
+    """The right one of many near twins is the last by name, and its number is not what compresses best."""
+    templates = {f"T{n}": f"This work is licensed under the Common Text License, version {n}." for n in range(1, 10)}
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(templates.values(), 1)], "doc_id long, text string")
+    rows = scan(df, templates, finalists=1).collect()
+    assert {r.doc_id: (r.license, r.exact) for r in rows} == {n: (f"T{n}", True) for n in range(1, 10)}
+
+
+def test_all_that_tie_are_finalists():
+    from wordloom.llm.licenses import compared
+
+    ranked = [(0.9, "a", 60, 6), (0.8, "b", 60, 12), (0.7, "c", 60, 18), (0.7, "d", 60, 18), (0.6, "e", 60, 25), (0.1, "f", 60, 54)]
+    assert [x[1] for x in compared(ranked, 3)] == ["a", "b", "c", "d", "e"]
+    assert compared([], 3) == []

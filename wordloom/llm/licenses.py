@@ -27,6 +27,8 @@ LEAST_SAVING = 0.2
 LEAST_AGREEMENT = 0.75
 #: Foreign words that a window has room for beside the words of a template.
 SLACK = 4
+#: Templates whose compressed size is within so many bytes of the last finalist's are compared too.
+NEAR = 8
 
 # fixed values: the wording of short notices
 TEMPLATES = {
@@ -111,6 +113,12 @@ class Compressor:
         return sorted(found, key=lambda x: (x[3], x[1]))
 
 
+def compared(ranked: list[tuple[float, str, int, int]], finalists: int) -> list[tuple[float, str, int, int]]:
+    """The finalists and all that save as much as the last of them or nearly so."""
+    last = ranked[: max(1, finalists)][-1:]
+    return [x for x in ranked if x[3] <= last[0][3] + NEAR]
+
+
 def difference(block: str, template: str) -> tuple[float, list[str], list[str]]:
     """Share of the template's words found in order, its words missing, and foreign words between them."""
     a, b = words(template), words(block)
@@ -152,7 +160,7 @@ def inside(text: str, compressor: Compressor, finalists: int, cache: dict) -> li
             continue
         window = text[spots[first][0] : spots[last - 1][1]]
         if window not in cache:
-            cache[window] = [name for _, name, _, _ in compressor.ranked(window)[:finalists]]
+            cache[window] = [name for _, name, _, _ in compared(compressor.ranked(window), finalists)]
         found = [text[a:b].lower() for a, b in spots[first:last]]
         for name in cache[window]:
             low, high = densest(found, compressor.words[name])
@@ -181,8 +189,8 @@ def scan(
     Blocks of hinting lines come first, confirmed or not; then confirmed places
     in the windows around hints that no confirmed block with that license covers.
 
-    Of the templates that save most, the ``finalists`` are compared word by
-    word, and the one with the fewest differences wins (then the larger saving,
+    Of the templates that save most, the ``finalists`` and those within ``NEAR``
+    bytes of them are compared word by word, and the one with the fewest differences wins (then the larger saving,
     then the name): numbers such as versions decide between near twins.
     ``confirmed`` asks for both limits; ``exact`` for no difference at all.
     Null and empty texts have no blocks; repeated rows are scanned alike.
@@ -193,7 +201,7 @@ def scan(
         """The winning template's columns, ``license`` to ``extra_words``."""
         if block not in cache:
             best = None
-            for saving, name, alone, size in compressor.ranked(block)[:finalists]:
+            for saving, name, alone, size in compared(compressor.ranked(block), finalists):
                 agreement, missing, extra = difference(block, compressor.templates[name])
                 order = len(missing) + len(extra), size, name
                 if best is None or order < best[0]:
