@@ -105,3 +105,22 @@ def test_sums_equal_numpy(spark, labelled):
     rows = stats.select(*COUNTS).toArrow()
     want = kernel.inputs(rows.to_batches()[0]).sum() if rows.num_rows and len(rows.to_batches()) == 1 else None
     assert got[0] == 1500 and (want is None or abs(got[1] - want) < 1e-6 * abs(want))
+
+
+def test_rules_for_many_kinds_of_bad_rows():
+    """More kinds than twelve, after one that no precise rule separates."""
+    import numpy as np
+
+    from wordloom.llm.quality_rules import learn
+
+    rng = np.random.default_rng(4)
+    kind = np.repeat(np.arange(40), 90)
+    # odd kinds are bad, and lie between good ones; kind 41 is half good, half bad
+    value = np.concatenate([kind + 0.5 * rng.random(len(kind)), 41 + 0.5 * rng.random(800)])
+    bad = np.concatenate([kind % 2 == 1, rng.random(800) < 0.5])
+    grows = rng.random(len(value)) < 2 / 3
+    x = {"a": value, "b": rng.random(len(value))}
+    found = learn(x, bad, grows)
+    caught, clear = found.rejects(x), np.arange(len(value)) < len(kind)
+    assert len(found.rules) > 12
+    assert caught[bad & clear].mean() > 0.95 and caught[~bad & clear].mean() < 0.02

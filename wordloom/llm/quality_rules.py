@@ -19,6 +19,8 @@ from wordloom.llm.doc_stats import COUNTS, doc_stats
 
 #: Labelled rows that the list is fitted on, at most, taken in hash order of their ids.
 SAMPLE_ROWS = 50_000
+#: Bad rows of the growing part that a rule grows from, at least.
+LEAST_BAD = 5
 MIN_WORDS, MAX_REPEATED_PERCENT = 10, 20
 
 #: Name -> (numerator, denominator) of the statistics that conditions compare.
@@ -59,13 +61,13 @@ class DecisionList:
 
     def number(self) -> Column:
         """The first rule that holds, from 0; null if none does."""
-        out = F.lit(None).cast("int")
-        for n, rule in reversed(list(enumerate(self.rules))):
+        out = F
+        for n, rule in enumerate(self.rules):
             whole = F.lit(True)
             for c in rule:
                 whole = whole & c.column()
-            out = F.when(whole, F.lit(n)).otherwise(out)
-        return out
+            out = out.when(whole, F.lit(n))
+        return F.lit(None).cast("int") if out is F else out
 
     def rejects(self, x: dict[str, np.ndarray]) -> np.ndarray:
         out = np.zeros(len(next(iter(x.values()))), bool)
@@ -115,19 +117,27 @@ def best_condition(x: dict[str, np.ndarray], bad: np.ndarray, inside: np.ndarray
 
 
 def learn(
-    x: dict[str, np.ndarray], bad: np.ndarray, grows: np.ndarray, *, precision: float = 0.98, most_rules: int = 12, most_terms: int = 5
+    x: dict[str, np.ndarray],
+    bad: np.ndarray,
+    grows: np.ndarray,
+    *,
+    precision: float = 0.98,
+    most_rules: int | None = None,
+    most_terms: int | None = None,
 ) -> DecisionList:
     """Learn a list that rejects ``bad`` rows; ``grows`` marks the growing part, the rest prunes.
 
     A rule is taken only if at least ``precision`` of what it covers in the
-    pruning part, and in both parts together, is bad; so good rows stay.  No
-    rows, or no bad ones, give the empty list.
+    pruning part, and in both parts together, is bad; so good rows stay.  The
+    bad rows from which a rule grew that is not taken are set aside, and the
+    next rule grows from others, until fewer than ``LEAST_BAD`` are left to grow
+    from.  No rows, or no bad ones, give the empty list.
     """
-    out, left = DecisionList(), np.ones(len(bad), bool)
-    while len(out.rules) < most_rules and (bad & left & grows).sum() >= 5:
+    out, left, aside = DecisionList(), np.ones(len(bad), bool), np.zeros(len(bad), bool)
+    while (most_rules is None or len(out.rules) < most_rules) and (bad & left & grows & ~aside).sum() >= LEAST_BAD:
         rule: tuple[Condition, ...] = ()
-        inside = left & grows
-        while len(rule) < most_terms and (~bad[inside]).any():
+        inside = left & grows & ~aside
+        while (most_terms is None or len(rule) < most_terms) and (~bad[inside]).any():
             more = best_condition(x, bad, inside)
             if more is None:
                 break
@@ -143,8 +153,11 @@ def learn(
         at = covered(best, x) & left
         pruned = at & ~grows
         sure = bad[pruned].mean() if pruned.any() else 0.0
-        if not best or sure < precision or bad[at].mean() < precision:
+        if not rule:
             break
+        if sure < precision or bad[at].mean() < precision:
+            aside |= inside & bad
+            continue
         out.rules.append(best)
         left &= ~at
     return out
