@@ -1,0 +1,107 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from wordloom.llm import hard_negatives as hn
+
+
+def brute_force(rows, is_anchor, positives=5, negatives=5, low=80, high=100):
+    """rows: (id, label, vector of ints); all scores, sorted."""
+    def score(a, b):
+        return sum(x * y for x, y in zip(a, b))
+
+    def best(found):
+        return sorted(found, key=lambda x: (-x[0], x[1] is None, x[1] or 0))
+
+    known = [(n, *r) for n, r in enumerate(rows) if r[1] is not None and r[2] is not None]
+    out = []
+    for n, i, label, v in known:
+        if not is_anchor(i):
+            continue
+        other = [(score(v, w), j, m, l == label) for m, j, l, w in known if m != n]
+        for p in best([x for x in other if x[3]])[:positives]:
+            fit = [x for x in other if not x[3] and low * p[0] <= 100 * x[0] <= high * p[0]]
+            for rank, x in enumerate(best(fit)[:negatives], 1):
+                out.append((i, p[1], rank, x[1], p[0], x[0]))
+    return sorted(out, key=repr)
+
+
+def clustered(seed, n=700, dim=8, copies=200):
+    rng = random.Random(seed)
+    centres = [[rng.randint(-200, 200) for _ in range(dim)] for _ in range(12)]
+    rows = []
+    for i in range(n):
+        c = rng.choice(centres)
+        rows.append((i, rng.randint(0, 3), [x + rng.randint(-9, 9) for x in c]))
+    common = centres[0]
+    rows += [(n + i, i % 4, list(common)) for i in range(copies)]
+    rng.shuffle(rows)
+    return rows
+
+
+def is_anchor(i):
+    return i is not None and i % 10 == 0
+
+
+@pytest.mark.parametrize("seed,options", [(1, {"leaf_rows": 20, "part_values": 400, "ways": 5}), (2, {"leaf_rows": 64, "part_values": 1 << 16}), (3, {})])
+def test_equals_brute_force(spark, seed, options):
+    rows = clustered(seed)
+    df = spark.createDataFrame(rows, "id long, label int, v array<int>").repartition(4)
+    got = hn.hard_negatives(df, F.col("id") % 10 == 0, **options)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_force(rows, is_anchor)
+
+
+def test_ranges_rule_out_leaves_and_no_answer():
+    rows = np.array([r[2] for r in clustered(4, n=2000, copies=0)], float)
+    tree = hn.Tree(rows[::3], len(rows), leaf_rows=30)
+    tree.take_ranges(list(tree.ranges_of(rows)))
+    leaf = tree.leaves_of(rows)
+    asked = rows[:50]
+    scores = asked @ rows.T
+    # each row asks for the scores of its fifth best up
+    least = np.partition(scores, -5, axis=1)[:, [-5]]
+    most = scores.max(1, keepdims=True)
+    visited = {(r, x) for x, here in tree.survivors(asked, least, most) for r in here.tolist()}
+    wanted = {(r, leaf[c]) for r, c in zip(*np.nonzero((scores >= least) & (scores <= most)))}
+    assert wanted <= visited
+    assert len(visited) < 0.3 * tree.leaves * len(asked)
+
+
+def test_a_crowded_leaf_is_dealt_over_parts(spark):
+    rows = [(i, i % 2, [5, 5]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, label int, v array<int>")
+    known = df.select(F.col("id").alias("n"), "id", F.col("label").cast("long").alias("label"), "v")
+    indexed, _ = hn.build(known, part_values=100)
+    sizes = [r["count"] for r in indexed.groupBy("part").count().collect()]
+    assert sum(sizes) == 300 and max(sizes) < 100
+    got = hn.hard_negatives(df, F.col("id") == 100, part_values=100).collect()
+    assert sorted({(r.positive_id, r["rank"], r.negative_id) for r in got}) == [
+        (p, k + 1, 2 * k + 1) for p in (0, 2, 4, 6, 8) for k in range(5)
+    ]
+
+
+def test_odd_rows(spark):
+    """Nulls, repeated rows, vectors of other lengths, few rows of a label, clashing columns."""
+    rows = [
+        (0, 1, [3, 4]), (0, 1, [3, 4]), (1, 1, [3, 4]), (2, 2, [3]), (3, 2, [3, 4, 9]), (4, 2, []), (None, 2, [3, 4]),
+        (5, None, [3, 4]), (6, 2, None), (7, 3, [-3, -4]), (10, 3, [0, 0]), (20, 9, [1, 1]),
+    ]
+    wide = [(*r, 0, "x", 1) for r in rows]
+    df = spark.createDataFrame(wide, "id long, label int, v array<int>, n int, part string, asked int")
+    got = hn.hard_negatives(df, F.col("id") % 10 == 0)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_force(rows, is_anchor)
+    assert hn.hard_negatives(df.limit(0), F.col("id") % 10 == 0).count() == 0
+
+
+def test_components(spark):
+    inf = float("inf")
+    rows = [([0.5, -0.001],), ([1e30, -1e30],), ([inf],), ([float("nan")],), ([None],), (None,), ([],)]
+    df = spark.createDataFrame(rows, "x array<float>").select(hn.components(F.col("x")).alias("v"))
+    assert [r.v for r in df.collect()] == [[128, -1], [1 << 28, -(1 << 28)], None, None, None, None, []]
+
+
+def test_products_stay_exact():
+    big = np.array([[float(1 << 28), 1.0]])
+    assert hn.products(big, big)[0, 0] == (1 << 56) + 1

@@ -73,3 +73,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)
 """
+
+NEGATIVES = """
+WITH rows AS (
+  SELECT row_number() OVER () AS n, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.n, a.vec_id AS anchor_id, b.n AS m, b.vec_id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.n <> b.n
+  WHERE a.vec_id % 100 = 0
+),
+best AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id NULLS LAST, m) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.n, p.m ORDER BY s.score DESC, s.vec_id NULLS LAST, s.m)::INTEGER AS rank,
+       s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM best p JOIN scored s ON p.n = s.n
+WHERE NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.n, p.m ORDER BY s.score DESC, s.vec_id NULLS LAST, s.m) <= 5
+"""

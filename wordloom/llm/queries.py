@@ -10,6 +10,7 @@ import corpus_pipeline
 from wordloom.llm import oracle
 from wordloom.llm.chat import op6_chat
 from wordloom.llm.decontamination import op10_decontamination
+from wordloom.llm.hard_negatives import op11_hard_negatives
 from wordloom.llm.licenses import op2_licenses
 from wordloom.llm.packing import op5_packing
 from wordloom.llm.quality_classifier import op3_quality
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_simhash,
             op9_suffix_dedup,
             op10_decontamination,
+            op11_hard_negatives,
         )
     } | {"pipeline": corpus_pipeline.run}
 
@@ -43,4 +45,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat": oracle.CHAT,
         "op9_suffix_dedup": oracle.REPEATS,
         "op10_decontamination": oracle.LEAKS,
+        "op11_hard_negatives": oracle.NEGATIVES,
     }
