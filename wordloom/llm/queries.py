@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from wordloom.llm import oracle
+from wordloom.llm.alignment import op12_alignment
 from wordloom.llm.chat import op6_chat
 from wordloom.llm.decontamination import op10_decontamination
 from wordloom.llm.hard_negatives import op11_hard_negatives
@@ -36,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_suffix_dedup,
             op10_decontamination,
             op11_hard_negatives,
+            op12_alignment,
         )
     } | {"pipeline": corpus_pipeline.run}
 
