@@ -12,6 +12,7 @@ from wordloom.llm.alignment import op12_alignment
 from wordloom.llm.chat import op6_chat
 from wordloom.llm.decontamination import op10_decontamination
 from wordloom.llm.hard_negatives import op11_hard_negatives
+from wordloom.llm.html_extraction import op13_html_extraction
 from wordloom.llm.licenses import op2_licenses
 from wordloom.llm.packing import op5_packing
 from wordloom.llm.quality_classifier import op3_quality
@@ -38,6 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op10_decontamination,
             op11_hard_negatives,
             op12_alignment,
+            op13_html_extraction,
         )
     } | {"pipeline": corpus_pipeline.run}
 
