@@ -85,13 +85,36 @@ def test_scores_do_not_shuffle(scan, spark):
     assert text.count("regexp_extract_all") == 1 and "Python" not in text
 
 
+def test_hot_terms_of_a_long_table_are_no_join_keys(spark, monkeypatch):
+    """One term is in every record: it is found in the row; only the rest of the table is joined."""
+    from wordloom.operators import relevance
+
+    monkeypatch.setattr(relevance, "LITERAL_LIMIT", 5)
+    docs = spark.createDataFrame([(i, f"common word{chr(97 + i % 26)}x") for i in range(400)], "doc_id long, text string").repartition(4)
+    table = op.document_frequency(docs)
+    assert table.count() > 5
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for call in (op.tfidf, op.term_frequency):
+            df = call(docs, table)
+            text = plan(df)
+            rows = df.collect()
+            assert sorted(r.doc_id for r in rows if r.term == "common") == list(range(400))
+            assert "BroadcastHashJoin" in text and "SortMergeJoin" in text and text.count("regexp_extract_all") == 2
+            shuffled = relevance._term_runs(docs, None, None, "text", 3, "revised", ["common"])
+            assert shuffled.where(F.col("term") == "common").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_long_df_table_is_not_forced_to_broadcast(scan, spark, monkeypatch):
     from wordloom.operators import relevance
 
     monkeypatch.setattr(relevance, "LITERAL_LIMIT", 5)
     table = op.document_frequency(scan, stopwords=STOP)
     logical = op.tfidf(scan.select("doc_id", "text"), table)._jdf.queryExecution().logical().toString()
-    assert "UnresolvedHint" not in logical and "ResolvedHint" not in logical
+    # the five most frequent terms only
+    assert logical.count("UnresolvedHint") + logical.count("ResolvedHint") == 1
 
 
 def test_vocabulary_stems_in_generated_code(scan):

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.arrays import with_runs
 from wordloom.functions.porter import may_stem_to, stem_all, with_stem
-from wordloom.functions.tokens import only
+from wordloom.functions.tokens import only, without
 from wordloom.operators.words import exploded_words, refuse, with_words
-from wordloom.sources.lists import LITERAL_LIMIT, WordList
+from wordloom.session import kept as kept_frame
+from wordloom.sources.lists import LITERAL_LIMIT, WordList, settled
 
 
 def stem_vocabulary(
@@ -58,20 +59,39 @@ def _settled_table(df: DataFrame) -> DataFrame:
     return known.groupBy("term").agg(F.max("df").cast("long").alias("df"))
 
 
-def _small_df_table(df: DataFrame) -> dict[str, int] | None:
-    rows = df.limit(LITERAL_LIMIT + 1).collect()
-    return None if len(rows) > LITERAL_LIMIT else {r["term"]: r["df"] for r in rows}
+def _split_table(df: DataFrame) -> tuple[list[tuple[str, int]], DataFrame | None]:
+    """The most frequent terms, ``LITERAL_LIMIT`` at most, and the rest of the table if there is any.
+
+    A table says itself which terms are hot.  Those that are taken out here have the largest
+    df, so a term of the rest is in no more records than the last of them.
+    """
+    df = kept_frame(_settled_table(df))
+    rows = df.orderBy(F.desc("df"), "term").limit(LITERAL_LIMIT + 1).collect()
+    hot = [(r.term, r.df) for r in rows]
+    if len(hot) <= LITERAL_LIMIT:
+        return hot, None
+    term, least = hot.pop()
+    return hot, df.where((F.col("df") < least) | (F.col("df") == least) & (F.col("term") >= term))
 
 
-def _known(records: DataFrame, df: DataFrame) -> tuple[list[str] | None, DataFrame]:
-    """Terms as literals and the table as local rows if few, else None and the table itself."""
-    df = _settled_table(df)
-    table = _small_df_table(df)
-    if table is None:
-        return None, df
-    rows = sorted(table.items())
-    local = records.sparkSession.createDataFrame(rows, "term string, df long")
-    return [term for term, _ in rows], F.broadcast(local)
+def _scored(
+    records: DataFrame, df: DataFrame, stopwords: WordList, text: str, min_len: int, revision: str
+) -> DataFrame:
+    """``(<record columns>, term, tf, df)`` for the terms of a table of any length.
+
+    Hot terms are found inside the rows and get their df by a broadcast of ``LITERAL_LIMIT`` rows at
+    most; they are never shuffled.  Only what is left of a long table is joined by term, in a second pass over
+    the records that leaves hot terms out: a term that all records have is then no join key.
+    """
+    hot, rest = _split_table(df)
+    stopwords = settled(stopwords)
+    terms = [term for term, _ in hot]
+    local = records.sparkSession.createDataFrame(sorted(hot), "term string, df long")
+    found = _term_runs(records, terms, stopwords, text, min_len, revision).join(F.broadcast(local), "term")
+    if rest is None:
+        return found
+    others = _term_runs(records, None, stopwords, text, min_len, revision, terms)
+    return found.unionByName(others.join(rest, "term"))
 
 
 def _term_runs(
@@ -81,8 +101,12 @@ def _term_runs(
     text: str,
     min_len: int,
     revision: str,
+    besides: list[str] | None = None,
 ) -> DataFrame:
-    """``(<record columns>, term, tf)`` counted inside each row, one row per record and term."""
+    """``(<record columns>, term, tf)`` counted inside each row, one row per record and term.
+
+    Of the listed terms only, or of all but those ``besides``.
+    """
     refuse(records, text, "term", "tf", "df", "score")
     words = with_words(records, stopwords=stopwords, text=text, min_len=min_len)
     kept = [c for c in words.columns if c != "words"]
@@ -92,6 +116,8 @@ def _term_runs(
     stems = words.select(*kept, stem_all("words", revision).alias("__terms"))
     if terms is not None:
         stems = stems.withColumn("__terms", only("__terms", terms))
+    elif besides:
+        stems = stems.withColumn("__terms", without("__terms", besides))
     counted = with_runs(stems, "__terms", "__runs")
     return (
         counted.select(*kept, F.explode_outer("__runs").alias("__c"))
@@ -110,11 +136,8 @@ def term_frequency(
     revision: str = "revised",
 ) -> DataFrame:
     """``(<record columns>, term, tf)`` for the terms of ``df``, one row per record and term."""
-    terms, table = _known(records, df)
-    tf = _term_runs(records, terms, stopwords, text, min_len, revision)
-    if terms is None:
-        tf = tf.join(table.select("term"), "term", "left_semi").select(*tf.columns)
-    return tf
+    found = _scored(records, df, stopwords, text, min_len, revision)
+    return found.select(*(c for c in records.columns if c != text), "term", "tf")
 
 
 def tfidf(
@@ -131,12 +154,10 @@ def tfidf(
 
     Only terms of the table ``df(term, df)`` are scored; of repeated terms the
     largest df counts.  ``n_docs=None`` counts the records.  With a table small enough for literals (checked) there is no
-    shuffle at all; a larger one is joined as the optimiser sees fit.
+    shuffle at all; of a larger one the most frequent terms are treated that way, the rest is joined.
     """
     if n_docs is None:
         n_docs = records.count()
-    terms, table = _known(records, df)
-    tf = _term_runs(records, terms, stopwords, text, min_len, revision)
+    found = _scored(records, df, stopwords, text, min_len, revision)
     idf = F.log(F.lit(float(n_docs)) / F.col("df") + 1)
-    kept = [c for c in tf.columns if c != "tf"]
-    return tf.join(table, "term").select(*kept, (F.col("tf") * idf).alias("score"))
+    return found.select(*(c for c in records.columns if c != text), "term", (F.col("tf") * idf).alias("score"))

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.functions.membership import membership
 from wordloom.functions.tokens import only, tokens, without
+from wordloom.session import kept as kept_frame
+from wordloom.sources import lists
 from wordloom.sources.lists import WordList, literal_words, settled, word_frame
 
 
@@ -23,8 +26,9 @@ def with_words(
 
     Words keep their order and, unless ``distinct``, repeats; positions are
     those of the filtered list, and a record without words keeps its row.  Lists
-    that fit into literals are applied inside the row, in the scan stage.
-    Longer ones are joined, which shuffles tokens; the result is the same.
+    that fit into literals are applied inside the row, in the scan stage.  So are longer ones, by filters that
+    are exact for the words of these records; to find their exceptions the records are read once more,
+    and only words that may be listed are shuffled, once each.  The result is the same.
     """
     refuse(records, text, "words")
     stopwords, vocabulary = settled(stopwords), settled(vocabulary)
@@ -33,16 +37,24 @@ def with_words(
     if distinct:
         words = F.array_distinct(words)
     out = records.select(*kept, words.alias("words"))
+    if vocabulary is not None and None in (literal_words(vocabulary), literal_words(stopwords)):
+        spark = records.sparkSession
+        vocabulary = word_frame(spark, vocabulary).join(word_frame(spark, stopwords or []), "word", "left_anti")
+        vocabulary, stopwords = settled(vocabulary), None
     stop = literal_words(stopwords)
     keep = None if vocabulary is None else literal_words(vocabulary)
     if keep is not None:
-        out = out.withColumn("words", only("words", set(keep) - set(stop or ())))
-    elif stop:
-        out = out.withColumn("words", without("words", stop))
-    spark = records.sparkSession
-    long_stop = word_frame(spark, stopwords) if stop is None else None
-    long_keep = word_frame(spark, vocabulary) if vocabulary is not None and keep is None else None
-    return out if long_stop is None and long_keep is None else _joined(out, long_stop, long_keep)
+        return out.withColumn("words", only("words", set(keep) - set(stop or ())))
+    if vocabulary is not None or stop is None:
+        listed = word_frame(records.sparkSession, stopwords if vocabulary is None else vocabulary)
+        found = membership(out, listed, lists.LITERAL_LIMIT, kept_frame)
+        if found is not None:
+            out = found.filtered(out, keep=vocabulary is not None)
+        elif vocabulary is not None:
+            out = _joined(out, None, listed)
+        else:
+            out = _joined(out, listed, None)
+    return out.withColumn("words", without("words", stop)) if stop else out
 
 
 def refuse(records: DataFrame, text: str, *names: str) -> None:
@@ -53,7 +65,7 @@ def refuse(records: DataFrame, text: str, *names: str) -> None:
 
 
 def _joined(records: DataFrame, stop: DataFrame | None, keep: DataFrame | None) -> DataFrame:
-    """Filter ``words`` by lists of any length; the optimiser picks the joins by size.
+    """Filter ``words`` by lists too long for a filter; the optimiser picks the joins by size.
 
     What is left of a word sequence depends on the sequence alone, so sequences
     are joined under their digest and come back to every record that has it: no

@@ -1,12 +1,14 @@
 """A local session for tests, benchmarks and trying things out.
 
 On a cluster the session comes from ``spark-submit``; nothing in the package
-changes its settings.
+changes its settings.  Intermediate tables go to the folder that it names in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, *, memory: str = "8g", **conf: str) -> SparkSession:
@@ -26,3 +28,20 @@ def local_session(cores: int | str = 8, *, memory: str = "8g", **conf: str) -> S
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a temporary one only in a local session without it."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if shared is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="wordloom-"))
+    return sc.getCheckpointDir()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once, in the shared folder: what uses it again reads it, also after an executor is lost."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

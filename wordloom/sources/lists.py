@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions.tokens import java_trim
+from wordloom.session import kept
 
 #: Lists up to this many words become literals of the plan, hashed once per
-#: task.  Longer lists stay DataFrames and are joined; rows and columns of every
+#: task.  Longer lists stay DataFrames, of which rows get filters; rows and columns of every
 #: result are the same either way.
 LITERAL_LIMIT = 10_000
 
@@ -73,7 +74,7 @@ def settled(words: WordList) -> list[str] | LongList | None:
     """Find out once how long a list is: few words as a list, more as a :class:`LongList`.
 
     A DataFrame is looked at through ``limit``, so at most ``LITERAL_LIMIT + 1``
-    words ever reach the driver.
+    words ever reach the driver.  A long list is stored, so that it is computed once.
     """
     if words is None or isinstance(words, LongList):
         return words
@@ -83,7 +84,7 @@ def settled(words: WordList) -> list[str] | LongList | None:
     rows = distinct.limit(LITERAL_LIMIT + 1).collect()
     if len(rows) <= LITERAL_LIMIT:
         return sorted(r.word for r in rows if r.word is not None)
-    return LongList(distinct)
+    return LongList(kept(distinct.where(F.col("word").isNotNull())))
 
 
 def literal_words(words: WordList) -> list[str] | None:
