@@ -1,11 +1,15 @@
+import subprocess
+import sys
 from collections import Counter
 
+import numpy as np
 import plain
 import pytest
 from pyspark.sql import functions as F
 
 from wordloom import operators as op
 from wordloom import plans, sinks, sources
+from wordloom.functions.pairs import record_cells
 from wordloom.sources import lists
 
 STOP = ["the", "and"]
@@ -218,3 +222,58 @@ def test_one_document_holds_most_of_the_corpus(spark):
     assert got == want
     rolled = op.roll_up(op.pairs_by_record(docs, vocabulary, 3))
     assert cells(rolled) == got
+
+
+@pytest.mark.parametrize("distance,lone", [(0, True), (1, True), (3, False), (7, True), (10**9, True)])
+@pytest.mark.parametrize("most", [1, 5, 40, 1 << 20])
+def test_cells_in_pieces(distance, lone, most):
+    rng = np.random.default_rng(distance % 97 + most)
+    sizes = np.array([0, 1, 12, 2, 0, 30, 1, 7])
+    words = np.concatenate([rng.integers(0, 6, sizes[:5].sum()), rng.integers(0, 3, 30), rng.integers(0, 9, 8)])
+    want, at = Counter(), 0
+    for rec, size in enumerate(sizes):
+        mine = words[at : at + size].tolist()
+        at += size
+        for i, a in enumerate(mine):
+            near = [b for j, b in enumerate(mine) if i != j and abs(i - j) <= distance]
+            want.update((rec, a, b) for b in near)
+            if lone and not near:
+                want[rec, a, -1] = 0
+    pieces = list(record_cells(words, sizes, 9, distance, lone, most))
+    got = [cell for p in pieces for cell in zip(*(x.tolist() for x in p), strict=True)]
+    assert got == sorted((*k, n) for k, n in want.items())
+    if most == 1:
+        rows = [{(r, l) for r, l in zip(p[0].tolist(), p[1].tolist())} for p in pieces]
+        assert len(rows) == len({x for r in rows for x in r})  # no row of a matrix is cut
+
+
+def test_intervals(docs, vocabulary):
+    steps = op.pairs_intervals(docs, vocabulary, 10**9, stopwords=STOP)
+    few = op.pairs_sweep(docs, vocabulary, 10**9, distances=[2, 4, 10**9], stopwords=STOP)
+    assert steps.where("to = 1000000000").count() == steps.select("l", "r").distinct().count()
+    for d in (2, 4, 10**9):
+        held = steps.where(F.lit(d).between(F.col("from"), F.col("to")))
+        want = cells(op.pairs(docs, vocabulary, d, stopwords=STOP))
+        assert cells(held) == want == cells(few.where(F.col("d") == d))
+    assert op.pairs_sweep(docs, vocabulary, 3, distances=[], stopwords=STOP).count() == 0
+
+
+MEMORY = """
+import resource, sys
+import numpy as np
+from wordloom.functions.pairs import record_cells
+rng = np.random.default_rng(1)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+sizes = np.array([int(x) for x in sys.argv[1].split(",")])
+total = sum(int(p[3].sum()) for p in record_cells(rng.integers(0, 5000, sizes.sum()), sizes, 5000, int(sys.argv[2]), False))
+print(total, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+@pytest.mark.parametrize("sizes,distance", [([300] * 800, 500), ([40_000], 500), ([3000], 10**9)])
+def test_memory_does_not_follow_the_matrix(sizes, distance):
+    """800 records of 300 words are what a task counts together; a matrix of all pairs would have 10^8 cells."""
+    said = subprocess.run([sys.executable, "-c", MEMORY, ",".join(map(str, sizes)), str(distance)], capture_output=True, text=True, timeout=200, check=True)
+    total, megabytes = map(int, said.stdout.split())
+    assert total == sum(min(n - 1, distance) * (2 * n - min(n - 1, distance) - 1) for n in sizes)
+    assert megabytes < 300

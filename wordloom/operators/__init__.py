@@ -2,6 +2,7 @@ from wordloom.operators.cooccurrence import (
     merge_stripes,
     pairs,
     pairs_by_record,
+    pairs_intervals,
     pairs_sweep,
     roll_up,
     stripes,
@@ -25,6 +26,7 @@ __all__ = [
     "merge_stripes",
     "pairs",
     "pairs_by_record",
+    "pairs_intervals",
     "pairs_sweep",
     "roll_up",
     "row_counts",

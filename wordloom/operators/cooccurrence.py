@@ -21,12 +21,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from wordloom.functions.pairs import record_pairs
+from wordloom.functions.pairs import record_cells
 from wordloom.operators.words import refuse, with_words
 from wordloom.sources.lists import WordList
 
 #: Rows, or cells of stripes, in one batch of a per-record matrix.
 ROWS_OUT = 100_000
+#: Words of the records that are counted together; a longer record is counted alone.
+WORDS_IN = 1 << 18
 
 # Words zipped with the words ``lag`` positions on: fields `0` and `1`.  At lag 0
 # the second field is null.
@@ -94,7 +96,7 @@ def pairs(
     return _mirror(_summed(_half_pairs(words, distance)))
 
 
-def pairs_sweep(
+def pairs_intervals(
     records: DataFrame,
     vocabulary: WordList,
     max_distance: int = 4,
@@ -103,9 +105,10 @@ def pairs_sweep(
     text: str = "text",
     min_len: int = 3,
 ) -> DataFrame:
-    """``(d, l, r, n)`` for every distance 1..max_distance from one pass over the corpus.
+    """``(l, r, from, to, n)``: the count of a pair at every distance from ``from`` to ``to``, both included.
 
-    Pairs are counted by lag, and the counts accumulated over the distances in
+    A pair has a row for each lag it occurs at, however large ``max_distance`` is; the last ends there.
+    Pairs are counted by lag in one pass over the corpus, and the counts accumulated over the distances in
     the small matrix, so the plan is the same for every ``max_distance``.
     """
     words = with_words(
@@ -117,12 +120,30 @@ def pairs_sweep(
     steps = by_lag.select(
         "l",
         "r",
-        F.col("lag").cast("long").alias("__from"),
-        (F.coalesce(F.lead("lag").over(nearer), F.lit(max(max_distance, 1) + 1)) - 1).cast("long").alias("__to"),
+        F.col("lag").cast("long").alias("from"),
+        (F.coalesce(F.lead("lag").over(nearer), F.lit(max(max_distance, 1) + 1)) - 1).cast("long").alias("to"),
         F.sum("n").over(nearer).alias("n"),
     )
-    half = steps.select(F.explode_outer(F.sequence("__from", "__to")).alias("d"), "l", "r", "n")
-    return _mirror(half)
+    return _mirror(steps).select("l", "r", "from", "to", "n")
+
+
+def pairs_sweep(
+    records: DataFrame,
+    vocabulary: WordList,
+    max_distance: int = 4,
+    *,
+    distances: list[int] | None = None,
+    stopwords: WordList = None,
+    text: str = "text",
+    min_len: int = 3,
+) -> DataFrame:
+    """``(d, l, r, n)`` for every distance 1..max_distance, or for ``distances`` among them, from one pass over the corpus."""
+    steps = pairs_intervals(records, vocabulary, max_distance, stopwords=stopwords, text=text, min_len=min_len)
+    every = "sequence(`from`, `to`)"
+    if distances is not None:
+        asked = ", ".join(f"{int(d)}L" for d in sorted(set(distances)))
+        every = f"filter(array({asked}), d -> d BETWEEN `from` AND `to`)" if asked else "CAST(array() AS ARRAY<BIGINT>)"
+    return steps.select(F.explode_outer(F.expr(every)).alias("d"), "l", "r", "n").where("d IS NOT NULL")
 
 
 def stripes_sweep(
@@ -150,9 +171,8 @@ def pairs_by_record(
 ) -> DataFrame:
     """``(<record columns>, l, r, n)``: the matrix of each record, without any shuffle.
 
-    Counted in the tasks that read the records, in memory that follows the
-    records' matrices, not words times distance (an array expression would hold all
-    pairs of a record at once).
+    Counted in the tasks that read the records, in memory for a bounded number of words and
+    pairs, or for the words of one longer record; neither the distance nor the size of the matrix counts.
     """
     refuse(records, text, "l", "r", "n")
     words = with_words(
@@ -175,18 +195,25 @@ def pairs_by_record(
 def _record_counts(
     batches: Iterator[pa.RecordBatch], distance: int, lone: bool
 ) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each batch its words in order, and record, left word, right word and count of all pairs."""
-    for batch in batches:
-        lists = batch.column("words")
-        flat = lists.flatten().dictionary_encode()
-        if not len(flat):
-            continue
-        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        order = np.argsort(np.array(flat.dictionary.to_pylist(), dtype=object), kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        words = rank[flat.indices.to_numpy(zero_copy_only=False)]
-        yield batch, flat.dictionary.take(pa.array(order)), *record_pairs(words, sizes, len(order), distance, lone)
+    """Records with their words in order, and record, left word, right word and count of their pairs, piece by piece."""
+    for whole in batches:
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(whole.column("words")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(ends):
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + WORDS_IN, "right")))
+            batch, at = whole.slice(at, stop - at), stop
+            lists = batch.column("words")
+            flat = lists.flatten().dictionary_encode()
+            if not len(flat):
+                continue
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            order = np.argsort(np.array(flat.dictionary.to_pylist(), dtype=object), kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            words = rank[flat.indices.to_numpy(zero_copy_only=False)]
+            spelled = flat.dictionary.take(pa.array(order))
+            for cells in record_cells(words, sizes, len(order), distance, lone):
+                yield batch, spelled, *cells
 
 
 def _rows(batch: pa.RecordBatch, kept: list[str], at: np.ndarray, more: list[pa.Array], out: pa.Schema) -> pa.RecordBatch:
