@@ -1,4 +1,6 @@
-from wordloom.llm.licenses import TEMPLATES, blocks, difference, scan
+import zstandard
+
+from wordloom.llm.licenses import TEMPLATES, Compressor, blocks, difference, full_texts, scan
 
 
 def test_scan(spark):
@@ -28,8 +30,8 @@ def test_every_template_wins_its_own_text(spark):
 
 def test_blocks_and_differences():
     assert blocks("a\nlicense x\ncopyright y\nb\nwarranty") == [(1, 2, "license x\ncopyright y"), (4, 4, "warranty")]
-    assert difference("a b c", "a c") == (1.0, [], ["b"])
-    assert difference("q", "a c") == (0.0, ["a", "c"], ["q"])
+    assert difference("a b c", "a c") == (1.0, [], ["b"], (0, 2))
+    assert difference("q", "a c") == (0.0, ["a", "c"], ["q"], (0, 0))
 
 
 def test_odd_rows(odd, none):
@@ -79,3 +81,59 @@ def test_all_that_tie_are_finalists():
     ranked = [(0.9, "a", 60, 6), (0.8, "b", 60, 12), (0.7, "c", 60, 18), (0.7, "d", 60, 18), (0.6, "e", 60, 25), (0.1, "f", 60, 54)]
     assert [x[1] for x in compared(ranked, 3)] == ["a", "b", "c", "d", "e"]
     assert compared([], 3) == []
+
+
+def confirmed(spark, texts, templates=TEMPLATES, **options):
+    rows = scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), templates, **options).collect()
+    return {i: sorted(r.license for r in rows if r.doc_id == i and r.confirmed) for i in range(len(texts))}
+
+
+def test_versions_are_told_apart(spark):
+    gpl = "This work is licensed under the GNU General Public License, version {}."
+    prose = "Words and more words of prose, nothing else to see here. "
+    texts = [
+        gpl.format(3), prose + gpl.format(3) + " " + prose, gpl.format(3) + "\n" + gpl.format(2), gpl.format(9), gpl.format(""),
+        "This work is licensed under the fine GNU Lesser General Public License, version 3.",
+        "Released under the MIT License. Licensed under CC BY 4.0.", "Licensed under CC BY-NC 4.0 and so on.",
+    ]
+    for templates in (TEMPLATES, TEMPLATES | full_texts()):
+        got = confirmed(spark, texts, templates)
+        assert got == {0: ["GPL-3.0"], 1: ["GPL-3.0"], 2: ["GPL-2.0", "GPL-3.0"], 3: [], 4: [], 5: ["LGPL-3.0"], 6: ["CC-BY-4.0", "MIT"], 7: ["CC-BY-NC-4.0"]}
+    rows = scan(spark.createDataFrame([(1, gpl.format(9))], "doc_id long, text string")).collect()
+    assert {"GPL-2.0", "GPL-3.0"} <= {rows[0].license, *rows[0].ambiguous} and not rows[0].confirmed
+
+
+def test_given_documents_have_the_notices_that_are_in_them(spark, docs):
+    rows = docs.collect()
+    got = scan(docs, TEMPLATES | full_texts()).where("confirmed").collect()
+    found = {(r.doc_id, r.license) for r in got}
+    assert found == {(r.doc_id, name) for r in rows for name, t in TEMPLATES.items() if t in (r.text or "")}
+    assert found
+
+
+def test_full_texts(spark):
+    prose = "\n".join(f"word{i % 37} of{i % 11} filler{i}" for i in range(80))
+    full = full_texts()
+    texts = [f"{prose}\n{t}\n{prose}" for t in full.values()]
+    got = confirmed(spark, texts, TEMPLATES | full)
+    for i, name in enumerate(full):
+        assert name in got[i] and set(got[i]) <= {name, "Proprietary"}, (name, got[i])
+
+
+def test_windows_everywhere_find_what_nothing_hints_at(spark):
+    templates = {"Plain": "You may use and share this text as you like, but name its author and keep this sentence."}
+    prose = " ".join(f"word{i % 37} of{i % 11} filler{i}" for i in range(90))
+    texts = [f"{prose} {templates['Plain']} {prose}", prose]
+    assert confirmed(spark, texts, templates) == {0: [], 1: []}
+    assert confirmed(spark, texts, templates, every_window=True) == {0: ["Plain"], 1: []}
+
+
+def test_ranking_equals_compressing_with_every_template():
+    c = Compressor(TEMPLATES)
+    for block in ["Released under the MIT License.", "Licensed under nothing, really", "All rights reserved. " * 9]:
+        want = []
+        for name, t in TEMPLATES.items():
+            d = zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            plain = dict(level=3, write_checksum=False, write_content_size=False, write_dict_id=False)
+            want.append((len(zstandard.ZstdCompressor(dict_data=d, **plain).compress(block.encode())), name))
+        assert [(size, name) for _, name, _, size in c.ranked(block)] == sorted(want)
