@@ -270,6 +270,8 @@ FROM documents d LEFT JOIN seq s USING (doc_id) GROUP BY d.doc_id""",
         "tfidf_all_terms": f"""WITH {_df()}, tf AS (
   SELECT doc_id, stem AS term, count(*) AS tf FROM tok JOIN stems USING (word) WHERE stem <> '' GROUP BY doc_id, stem)
 SELECT doc_id, term, round(tf * ln({N_DOCS}.0::DOUBLE / df + 1), 4) AS score FROM tf JOIN df USING (term)""",
+        "pairs_indexed_d2": pairs["pairs_d2"],
+        "df_indexed": f"WITH {_df()} SELECT term, df FROM df",
         "tf_all_terms": f"""WITH {_df()}, tf AS (
   SELECT doc_id, stem AS term, count(*) AS tf FROM tok JOIN stems USING (word) WHERE stem <> '' GROUP BY doc_id, stem)
 SELECT doc_id, term, tf FROM tf JOIN df USING (term)""",

@@ -11,6 +11,15 @@ from wordloom.operators.cooccurrence import (
     stripes_to_pairs,
 )
 from wordloom.operators.counts import head, row_counts, top_k, word_counts
+from wordloom.operators.forward import (
+    Index,
+    build_index,
+    indexed_counts,
+    indexed_document_frequency,
+    indexed_pairs,
+    indexed_words,
+    open_index,
+)
 from wordloom.operators.relevance import (
     document_frequency,
     stem_vocabulary,
@@ -20,10 +29,17 @@ from wordloom.operators.relevance import (
 from wordloom.operators.words import exploded_words, with_words
 
 __all__ = [
+    "Index",
+    "build_index",
     "document_frequency",
     "exploded_words",
     "head",
+    "indexed_counts",
+    "indexed_document_frequency",
+    "indexed_pairs",
+    "indexed_words",
     "merge_stripes",
+    "open_index",
     "pairs",
     "pairs_by_record",
     "pairs_intervals",

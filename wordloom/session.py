@@ -7,6 +7,7 @@ changes its settings.  Intermediate tables go to the folder that it names in ``s
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +46,13 @@ def kept(df: DataFrame) -> DataFrame:
     """``df`` computed once, in the shared folder: what uses it again reads it, also after an executor is lost."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes when the session's file system is closed."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop)
+    system.deleteOnExit(hadoop)
+    return path
