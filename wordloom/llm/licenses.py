@@ -179,8 +179,11 @@ def densest(found: list[str], template: list[str]) -> tuple[int, int]:
     return at, min(len(found), at + size)
 
 
-def inside(text: str, compressor: Compressor, finalists: int, cache: dict, every: bool) -> list[tuple[int, int, str]]:
-    """Start, end and text of the best place of each finalist in windows of words around each hint, or over the whole text."""
+def inside(text: str, compressor: Compressor, finalists: int, least: float, cache: dict, every: bool) -> list[tuple[int, int, str]]:
+    """Start, end and text of the best place of each finalist in windows of words around each hint, or over the whole text.
+
+    A window that a template does not shorten by the share ``least`` has no place of it.
+    """
     spots = [m.span() for m in WORD.finditer(text)]
     starts, out, seen = [a for a, _ in spots], [], set()
     hints = [bisect.bisect_right(starts, m.start()) for m in HINT.finditer(text)]
@@ -191,7 +194,7 @@ def inside(text: str, compressor: Compressor, finalists: int, cache: dict, every
                 continue
             window = text[spots[first][0] : spots[last - 1][1]]
             if (window, reach) not in cache:
-                cache[window, reach] = [name for _, name, _, _ in compared(compressor.ranked(window, names), finalists)]
+                cache[window, reach] = [name for saving, name, _, _ in compared(compressor.ranked(window, names), finalists) if saving >= least]
             found = [text[a:b].lower() for a, b in spots[first:last]]
             for name in cache[window, reach]:
                 low, high = densest(found, compressor.words[name])
@@ -267,7 +270,7 @@ def scan(
             for first, last, block in runs:
                 v = verdict(compressor, block, whole)
                 found.append((*span(block, ends[first - 1] + 1 if first else 0, v), first, last, v, True))
-            for a, _, part in inside(text, compressor, finalists, ranks, every_window):
+            for a, _, part in inside(text, compressor, finalists, least_saving, ranks, every_window):
                 v = verdict(compressor, part, whole)
                 a, b = span(part, a, v)
                 found.append((a, b, bisect.bisect_left(ends, a), bisect.bisect_left(ends, b), v, False))
