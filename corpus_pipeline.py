@@ -16,6 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from wordloom.llm import decontamination, packing, quality_rules, simhash, suffix_dedup
 from wordloom.llm.common import stored, table, tokenizer_file
 
+#: Text that a task searches for benchmark words at a time, about; its words are Python objects of many times that.
+SEARCH_BYTES = 2_000_000
 #: No SQL expresses the learned rules, the fingerprints or the packing.
 ORACLE_SQL = None
 
@@ -49,8 +51,10 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Texts less the strings of 200 bytes or more that also stand elsewhere, cut at whole characters.
 
     A document may end up empty; it stays.  ``n_chars`` is counted anew; a null text stays null.
+    Spans are stored before they are cut out: in one step each task would hold two
+    Python workers, and Spark keeps them for the stages that follow.
     """
-    found = suffix_dedup.with_spans(docs).select(F.col("row.text").alias("text"), "row", "spans")
+    found = stored(suffix_dedup.with_spans(docs)).select(F.col("row.text").alias("text"), "row", "spans")
     out = to_arrow_schema(found.schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +78,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), batch_bytes=SEARCH_BYTES)
     return found.where(F.size("hits") == 0).select("row.*")
 
 

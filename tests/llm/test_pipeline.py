@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 import pytest
@@ -87,3 +88,35 @@ def test_odd_documents(spark, odd):
     # repeated rows, and texts without words, leave one row each
     kept = pipeline.one_of_each(spark, docs, SF).collect()
     assert sum(r.doc_id == 1 for r in kept) == 1 and sum(not (r.text or "").strip() for r in kept) == 1
+
+
+def workers(plan):
+    """The most Python workers that a task of a plan holds: its Python nodes between two exchanges."""
+    most, above = 0, []
+    for line in plan.splitlines():
+        at = re.match(r"[ :+-]*", line).end()
+        above = [x for x in above if x[0] < at]
+        n = above[-1][1] if above else 0
+        n = 0 if "Exchange" in line.split("(")[0] else n + bool(re.search(r"^[ :+-]*(\*\(\d+\) )?(MapIn|ArrowEvalPython|FlatMapGroups)", line))
+        above.append((at, n))
+        most = max(most, n)
+    return most
+
+
+def test_no_task_holds_two_python_workers(spark):
+    plan = pipeline.without_repeats(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)._jdf.queryExecution().executedPlan().toString()
+    assert workers(plan) == 1
+
+
+def test_leaks_are_found_in_small_batches(spark, stages, monkeypatch):
+    sizes = []
+
+    def contamination(*args, batch_bytes, **more):
+        sizes.append(batch_bytes)
+        return found(*args, batch_bytes=2000, **more)
+
+    found = pipeline.decontamination.contamination
+    monkeypatch.setattr(pipeline.decontamination, "contamination", contamination)
+    docs = spark.createDataFrame(stages[3], spark.read.parquet(f"{SF}/documents.parquet").schema)
+    assert ids(pipeline.not_in_benchmark(spark, docs, SF).collect()) == ids(stages[4])
+    assert sizes == [pipeline.SEARCH_BYTES]

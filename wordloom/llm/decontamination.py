@@ -112,7 +112,7 @@ def intervals(marks: np.ndarray) -> list[int]:
     return edge.tolist()
 
 
-def searched(rows: DataFrame, items: list[tuple[str, bytes]], window: int) -> DataFrame:
+def searched(rows: DataFrame, items: list[tuple[str, bytes]], window: int, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Search every text for the windows of ``items`` and add what is found to ``hits`` and ``items``."""
     held = rows.sparkSession.sparkContext.broadcast(items)
     out = to_arrow_schema(rows.schema)
@@ -123,7 +123,7 @@ def searched(rows: DataFrame, items: list[tuple[str, bytes]], window: int) -> Da
             for w in windows(words(raw), window):
                 owners[w].add(name)
         search = machines(list(owners))
-        for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
+        for batch in (part for whole in batches for part in slices(whole, "text", batch_bytes)):
             split = [words(raw) for raw in texts(batch)]
             joined = [b" " + b" ".join(x) + b" " for x in split]
             begin = np.cumsum([0] + [len(x) + 1 for x in joined])
@@ -163,12 +163,13 @@ def contamination(
     item_text: str = "text",
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """``row``, the document as a struct, its words, the words hit as flat starts and ends, and the items that occur.
 
     The benchmark's size is measured; a task holds about ``block_bytes`` of it
     at most, and a larger benchmark is searched block by block, one after the
-    other over the same rows.  Null or empty texts have no words; null items and
+    other over the same rows.  About ``batch_bytes`` of text are searched at a time.  Null or empty texts have no words; null items and
     items without words never occur; rows with the same item_id are one item
     with the windows of all; repeated documents stay.  Nothing is shuffled.
     """
@@ -186,7 +187,7 @@ def contamination(
     )
     for n in range(blocks):
         held = [(r.item, r.text.encode()) for r in part.where(F.col("part") == n).collect()]
-        found = searched(found, sorted(held), window)
+        found = searched(found, sorted(held), window, batch_bytes)
     return found.drop("text")
 
 
